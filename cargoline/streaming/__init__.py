@@ -1,0 +1 @@
+"""Incremental runs of the delivery transformation over arriving files."""
