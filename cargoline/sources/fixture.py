@@ -3,13 +3,15 @@
 The test tables have no NULLs, blanks, duplicates or bad dates, so this
 derivation adds them by fixed arithmetic on keys (see FIXTURES.md §3).
 
-Plan: ``orders`` is joined to ``customer`` first (both small relative to
-``lineitem``), then ``lineitem`` is joined to that, so the largest table is
-shuffled once.  Spark chooses broadcast vs. sort-merge per join from its own
-size estimates (``spark.sql.autoBroadcastJoinThreshold``) and AQE re-plans at
-runtime; nothing here forces a broadcast.  The copied rows (``l_partkey % 5
-= 0``) are produced by a generator in the same stage instead of a second
-scan-and-join.
+Plan: ``orders`` is joined to ``customer`` first, then ``lineitem`` to that,
+so the largest table is shuffled once.  ``orders`` x ``customer`` grows with
+the data like ``lineitem`` does, so that join is declared a sort-merge join:
+broadcasting a fact-sized side has no size bound, and a broadcast join would
+run the whole derivation inside the scan tasks of ``lineitem`` (one task per
+file split).  The ``customer`` join is left to Spark's size check
+(``spark.sql.autoBroadcastJoinThreshold``, sort-merge beyond it); AQE splits
+skewed join partitions.  The copied rows (``l_partkey % 5 = 0``) come from a
+generator in the same stage instead of a second scan-and-join.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
         "o_orderkey", "o_orderpriority", "c_nationkey"
     )
-    base = li.join(oc, li.l_orderkey == oc.o_orderkey)
+    base = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey)
 
     pk = F.col("l_partkey")
     nation = F.col("c_nationkey")
