@@ -16,10 +16,20 @@ generator in the same stage instead of a second scan-and-join.
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargoline.schema import RAW_COLUMNS, RAW_DECIMAL
+from cargoline.schema import DELIVERY_SCHEMA, RAW_COLUMNS, RAW_DECIMAL
+from cargoline.session import shared_root
+
+# Bump when the derivation below changes, so landed copies are rebuilt.
+DERIVATION_VERSION = "1"
+SOURCE_TABLES = ("lineitem", "orders", "customer")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +43,7 @@ def _case(key: Column, values: dict[int, str | None], default: str | None) -> Co
     return out.otherwise(F.lit(default))
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nine-column deliveries table (schema of ``cargoline.schema``)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -93,3 +103,66 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         unidad.alias("unidad"),
         F.explode(copies).alias("_copy"),
     ).select(*RAW_COLUMNS)
+
+
+def _fingerprint(sf_dir: str) -> str:
+    parts = [sf_dir.rstrip("/"), DERIVATION_VERSION]
+    for name in SOURCE_TABLES:
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        if os.path.exists(path):  # local inputs: also key on size and time
+            st = os.stat(path)
+            parts += [str(st.st_size), str(int(st.st_mtime))]
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def _landed_copy(spark: SparkSession, base: str) -> str | None:
+    """A completed copy of one fingerprint, found through its marker file.
+
+    A copy counts as complete only once its marker exists; the marker is
+    written after the data job has committed.  Lookups are memoised per
+    application.
+    """
+    key = (spark.sparkContext.applicationId, base)
+    if key in _LANDED:
+        return _LANDED[key]
+    try:
+        paths = sorted(r.value for r in spark.read.text(f"{base}-*.ready").collect())
+    except AnalysisException:
+        return None
+    if paths:
+        _LANDED[key] = paths[0]
+    return _LANDED.get(key)
+
+
+def land_deliveries(spark: SparkSession, sf_dir: str, fresh: bool = False) -> str:
+    """Write the derived deliveries once as Parquet under the shared root.
+
+    Like landing an input CSV once and working from Parquet: the three-table
+    join runs once, later readers get a columnar, splittable table with
+    pushdown, and the lineage is cut at a file every executor can read.
+    Each build goes to its own folder and is announced by a marker written
+    after it completed, so a failed or concurrent build is never read.
+    """
+    base = f"{shared_root(spark)}/cargoline/landed/deliveries-{_fingerprint(sf_dir)}"
+    if not fresh:
+        ready = _landed_copy(spark, base)
+        if ready:
+            return ready
+    path = f"{base}-{uuid.uuid4().hex}"
+    derive_deliveries(spark, sf_dir).write.parquet(path)
+    spark.createDataFrame([(path,)], "value string").coalesce(1).write.text(f"{path}.ready")
+    _LANDED[(spark.sparkContext.applicationId, base)] = path
+    return path
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries table, read from its landed Parquet copy.
+
+    ``CARGOLINE_LAND=0`` derives it from the test tables on every call instead.
+    """
+    if os.environ.get("CARGOLINE_LAND", "1") == "0":
+        return derive_deliveries(spark, sf_dir)
+    return spark.read.schema(DELIVERY_SCHEMA).parquet(land_deliveries(spark, sf_dir))
