@@ -9,7 +9,9 @@ from tests.conftest import SF_SMALL
 
 def test_derivation_counts(spark):
     d = derive_deliveries(spark, SF_SMALL)
-    assert d.schema == DELIVERY_SCHEMA
+    assert [(f.name, f.dataType) for f in d.schema] == [
+        (f.name, f.dataType) for f in DELIVERY_SCHEMA
+    ]
     assert d.count() == 7217  # FIXTURES.md §3 at sf0.001
     stats = d.agg(
         F.count("material").alias("materials"),
