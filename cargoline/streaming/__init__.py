@@ -1 +1,5 @@
-"""Incremental runs of the delivery transformation over arriving files."""
+"""Incremental runs of the delivery job over arriving files."""
+
+from cargoline.streaming.incremental import append_new_rows, start_incremental_run
+
+__all__ = ["append_new_rows", "start_incremental_run"]
