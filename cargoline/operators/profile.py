@@ -31,16 +31,8 @@ def profile_values(df: DataFrame, columns: Iterable[str] = PROFILE_COLUMNS) -> D
     present = [c for c in columns if c in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], "column_name string, value string, rows bigint")
-    long = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                    for c in present
-                ]
-            )
-        ).alias("kv")
-    ).select("kv.column_name", "kv.value")
+    text = df.select([F.col(c).cast("string").alias(c) for c in present])
+    long = text.unpivot([], present, "column_name", "value")
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -99,9 +91,13 @@ def cleaning_funnel(
 ) -> DataFrame:
     """Rows left after each step of the transformation, in one job (P3).
 
-    Rows are first grouped on all raw columns (after the tiny-price fix) with
-    their multiplicity ``m``; counts before de-duplication are ``sum(m)``,
-    counts after it are numbers of groups.  Output ``(step, stage, rows)``.
+    Rows are grouped on all raw columns (after the tiny-price fix) with their
+    multiplicity ``m``; counts before de-duplication are ``sum(m)``, counts
+    after it are numbers of groups.  Rows removed by the blank-material check
+    are only counted, so they are folded into a single all-NULL key (flagged
+    ``dropped``) before the shuffle: the partial aggregation turns them into
+    one record per task and only kept rows travel as distinct rows.
+    Output ``(step, stage, rows)``.
     """
     from cargoline.schema import BONUS_TYPES, ROUTINE_TYPES
 
@@ -109,9 +105,12 @@ def cleaning_funnel(
     base = df.select(*RAW_COLUMNS)
     if fix_scientific_notation:
         base = base.withColumn("precio", tiny_price_to_zero("precio"))
-    grouped = base.groupBy(*RAW_COLUMNS).agg(F.count(F.lit(1)).alias("m"))
+    kept = is_blank_free("material") if remove_empty_material else F.lit(True)
+    grouped = base.select(
+        (~kept).alias("dropped"), *[F.when(kept, F.col(c)).alias(c) for c in RAW_COLUMNS]
+    ).groupBy("dropped", *RAW_COLUMNS).agg(F.count(F.lit(1)).alias("m"))
 
-    keep = is_blank_free("material") if remove_empty_material else F.lit(True)
+    keep = ~F.col("dropped")
     typed = keep & F.col("tipo_entrega").isin(types) if types else keep
     dated = typed & process_date_between("fecha_proceso", to_day(start_date), to_day(end_date))
     located = (
