@@ -79,6 +79,16 @@ class RunResult:
         col = self.output.partition_column or "process_date"
         return output_summary(self.written(), col)
 
+    def metrics(self) -> DataFrame:
+        """One row of run metrics: target, format, rows written, partition
+        values found in the target, seconds."""
+        values = self.summary().first()["partition_values"]
+        return self.spark.createDataFrame(
+            [(self.output_path, self.output.format, self.rows_written, values, float(self.seconds))],
+            "output_path string, output_format string, rows_written bigint, "
+            "partition_values bigint, seconds double",
+        )
+
 
 def run_delivery_job(source: DataFrame, params: RunParams) -> RunResult:
     """Transform ``source`` (nine raw columns) and write it as ``params.output``."""

@@ -90,3 +90,17 @@ def test_write_by_date_null_date_goes_to_default_partition(spark, output, tmp_pa
                            .otherwise(F.col("process_date")))
     got = {r.process_date: r.path for r in write_by_date(df, spec, schema=OUTPUT_SCHEMA).collect()}
     assert got[None].endswith("__HIVE_DEFAULT_PARTITION__")
+
+
+def test_csv_sink_keeps_quotes_commas_and_newlines(spark, tmp_path):
+    from decimal import Decimal as D
+
+    from cargoline.schema import DELIVERY_SCHEMA
+    from cargoline.sources.csv import read_deliveries
+
+    data = [("GT", "20250101", 'T"1', "R,1", "ZPRE", "line\nbreak", D("1.5"), D(2), "ST")]
+    df = spark.createDataFrame(data, DELIVERY_SCHEMA)
+    spec = SinkSpec(str(tmp_path / "c"), format="csv", partition_column=None)
+    write(df, spec)
+    back = read_deliveries(spark, spec.path).collect()
+    assert [tuple(r) for r in back] == data
