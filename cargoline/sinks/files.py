@@ -13,6 +13,7 @@ from __future__ import annotations
 import dataclasses
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -91,8 +92,8 @@ def _existing_values(
 ) -> DataFrame | None:
     try:
         return read_back(spark, spec, schema).select(column).distinct()
-    except Exception as exc:  # nothing written yet
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+    except AnalysisException as exc:  # nothing written yet
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 

@@ -38,8 +38,10 @@ def _already_written(spark: SparkSession, params: RunParams) -> DataFrame | None
     hi = to_day(params.end_date).strftime("%Y%m%d")
     try:
         existing = read_back(spark, params.output, OUTPUT_SCHEMA)
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:  # nothing written yet
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     return existing.filter(F.col("process_date").between(lo, hi)).select(*KEY)
 
 
