@@ -104,3 +104,32 @@ def test_csv_sink_keeps_quotes_commas_and_newlines(spark, tmp_path):
     write(df, spec)
     back = read_deliveries(spark, spec.path).collect()
     assert [tuple(r) for r in back] == data
+
+
+def test_text_edge_values_per_format(spark, tmp_path):
+    """CSV loses '' vs NULL and trims outer spaces by default; JSON and
+    Parquet keep both; partition values are escaped in paths."""
+    df = spark.createDataFrame(
+        [("a/b", "", " x "), ("c", None, "   ")], "process_date string, t string, u string"
+    )
+    got = {}
+    for fmt in ("parquet", "json", "csv"):
+        spec = SinkSpec(str(tmp_path / fmt), format=fmt)
+        write(df, spec)
+        back = read_back(spark, spec, "t string, u string, process_date string")
+        got[fmt] = sorted((r.process_date, r.t, r.u) for r in back.collect())
+    assert got["parquet"] == got["json"] == [("a/b", "", " x "), ("c", None, "   ")]
+    assert got["csv"] == [("a/b", None, "x"), ("c", None, None)]
+    assert "process_date=a%2Fb" in os.listdir(str(tmp_path / "parquet"))
+
+
+def test_rebalance_keeps_one_file_set_per_date(spark, output, tmp_path, capsys):
+    spec = SinkSpec(str(tmp_path / "r"))
+    capsys.readouterr()
+    output.hint("rebalance", "process_date").explain()
+    assert "REBALANCE_PARTITIONS_BY_COL" in capsys.readouterr().out
+    write(output, spec)
+    for d in os.listdir(spec.path):
+        if d.startswith("process_date="):
+            files = [f for f in os.listdir(os.path.join(spec.path, d)) if f.endswith(".parquet")]
+            assert len(files) == 1
