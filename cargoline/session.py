@@ -33,8 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (a bare local test session) a folder is
-    made here and registered as the checkpoint dir.
+    Only a local-mode session that names none (a bare test session) gets a
+    folder made here and registered as its checkpoint dir; on a cluster a
+    machine-local folder would be invisible to executors, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -42,6 +43,11 @@ def shared_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by all executors "
+                "(e.g. on HDFS or an object store)"
+            )
         root = tempfile.mkdtemp(prefix="cargoline-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
