@@ -12,12 +12,14 @@ import dataclasses
 import datetime as dt
 import logging
 import time
+from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cargoline.operators.filters import to_day
-from cargoline.operators.profile import output_summary, rows_per_partition
+from cargoline.operators.profile import dataset_info, output_summary, rows_per_partition
 from cargoline.plans.transform import DeliveryRules, QualityChecks, transform
 from cargoline.schema import COUNTRY_CODES, OUTPUT_SCHEMA
 from cargoline.sinks.files import SinkSpec, read_back, write
@@ -36,6 +38,42 @@ class RunParams:
     country: str | None = None
     rules: DeliveryRules = DeliveryRules()
     quality: QualityChecks = QualityChecks()
+    profile_input: bool = False
+
+    @classmethod
+    def from_mapping(cls, cfg: Mapping[str, Any]) -> RunParams:
+        """Run arguments from the original job's settings tree (e.g. its YAML
+        file loaded with ``yaml.safe_load``): ``filters``, ``transformations``,
+        ``data_quality``, ``output`` and ``paths.output_base``.  Missing keys
+        take the original defaults; ``spark`` settings belong to the session.
+        """
+
+        def get(path: str, default: Any = None) -> Any:
+            node: Any = cfg
+            for part in path.split("."):
+                if not isinstance(node, Mapping) or part not in node:
+                    return default
+                node = node[part]
+            return default if node is None else node
+
+        return cls(
+            start_date=get("filters.start_date"),
+            end_date=get("filters.end_date"),
+            country=get("filters.country"),
+            output=SinkSpec(
+                get("paths.output_base"),
+                format=get("output.format", "parquet"),
+                partition_column=get("output.partition_column", "process_date"),
+                mode=get("output.mode", "overwrite"),
+                compression=get("output.compression", "snappy"),
+            ),
+            rules=DeliveryRules(
+                cs_to_st_factor=int(get("transformations.unit_conversion.cs_to_st_factor", 20)),
+                routine_delivery_types=get("transformations.delivery_types.routine"),
+                bonus_delivery_types=get("transformations.delivery_types.bonus"),
+            ),
+            quality=QualityChecks.of(get("data_quality", {})),
+        )
 
     def check(self) -> None:
         start = _checked_day(self.start_date, "start_date")
@@ -62,6 +100,7 @@ class RunResult:
     seconds: float
     spark: SparkSession
     output: SinkSpec
+    input_info: dict | None = None
 
     def written(self) -> DataFrame:
         """The written rows, read back with ``process_date`` kept as text."""
@@ -94,6 +133,7 @@ def run_delivery_job(source: DataFrame, params: RunParams) -> RunResult:
     """Transform ``source`` (nine raw columns) and write it as ``params.output``."""
     params.check()
     t0 = time.time()
+    info = dataset_info(source) if params.profile_input else None
     out = transform(
         source,
         params.start_date,
@@ -108,10 +148,16 @@ def run_delivery_job(source: DataFrame, params: RunParams) -> RunResult:
     rows = int(seen.get.get("rows", 0))
     secs = time.time() - t0
     log.info("wrote %d rows to %s in %.2fs", rows, path, secs)
-    return RunResult(path, rows, secs, source.sparkSession, params.output)
+    return RunResult(path, rows, secs, source.sparkSession, params.output, info)
 
 
 def run_delivery_job_from_csv(spark: SparkSession, input_path: str, params: RunParams) -> RunResult:
     """The original entry point: deliveries CSV in, standard output files out."""
     params.check()
     return run_delivery_job(read_deliveries(spark, input_path), params)
+
+
+def run_from_mapping(spark: SparkSession, cfg: Mapping[str, Any]) -> RunResult:
+    """Run with the original job's settings tree (``paths.input_file`` is the CSV)."""
+    params = RunParams.from_mapping(cfg)
+    return run_delivery_job_from_csv(spark, cfg["paths"]["input_file"], params)

@@ -78,3 +78,45 @@ def test_audits(spark):
         "2025-01-01": 1, "bad": 1, "20250230": 1}
     assert {r.value: r.rows for r in audit_bad_countries(df).collect()} == {"XX": 2}
     assert {r.value: r.rows for r in audit_bad_countries(df, ["XX"]).collect()} == {"GT": 1, "gt": 1}
+
+
+def test_settings_tree_like_the_original_yaml(spark, sample, tmp_path):
+    import yaml
+
+    from cargoline.plans.run import run_from_mapping
+
+    src = str(tmp_path / "in")
+    sample.write.option("header", True).option("quote", '"').option("escape", '"').csv(src)
+    cfg = yaml.safe_load(f"""
+paths:
+  input_file: "{src}"
+  output_base: "{tmp_path / 'out'}"
+filters:
+  start_date: "2025-01-01"
+  end_date: "2025-12-31"
+  country: null
+transformations:
+  unit_conversion: {{cs_to_st_factor: 10, standard_unit: "ST"}}
+  delivery_types: {{routine: ["ZPRE", "ZVE1"], bonus: ["Z04", "Z05"]}}
+data_quality:
+  remove_empty_material: true
+  remove_duplicates: true
+  fix_scientific_notation: true
+  filter_valid_delivery_types: true
+spark:
+  config: {{spark.sql.shuffle.partitions: "4"}}
+output: {{format: "parquet", mode: "overwrite", partition_column: "process_date", compression: "snappy"}}
+""")
+    params = RunParams.from_mapping(cfg)
+    assert params.rules.cs_to_st_factor == 10 and params.country is None
+    result = run_from_mapping(spark, cfg)
+    assert result.rows_written == 5
+    got = {r.material_code: r.quantity_standardized for r in result.written().collect()}
+    assert got["MAT002"] == D(50)
+
+
+def test_optional_input_profile(spark, sample, tmp_path):
+    params = RunParams("2025-01-01", "2025-12-31", output=SinkSpec(str(tmp_path / "o")),
+                       profile_input=True)
+    info = run_delivery_job(sample, params).input_info
+    assert info["total_records"] == 10 and info["distinct_values"]["pais"] == 4
