@@ -44,3 +44,13 @@ def test_incremental_equals_batch_with_duplicates_across_files(spark, tmp_path):
     q2 = start_incremental_run(spark, str(flat), params, checkpoint=str(tmp_path / "ckpt"))
     q2.awaitTermination(120)
     assert read_back(spark, out, OUTPUT_SCHEMA).count() == 5
+
+
+def test_retried_micro_batch_writes_nothing_twice(spark, sample, tmp_path):
+    from cargoline.streaming import append_new_rows
+
+    out = SinkSpec(str(tmp_path / "o"))
+    params = RunParams("2025-01-01", "2025-12-31", output=out)
+    append_new_rows(sample, params)
+    append_new_rows(sample, params)  # the same batch again, as after a failure
+    assert read_back(spark, out, OUTPUT_SCHEMA).count() == 5

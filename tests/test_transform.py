@@ -73,3 +73,21 @@ def test_transform_runs_no_action(spark, sample):
     before = set(tracker.getJobIdsForGroup())
     transform(sample, "2025-01-01", "2025-12-31")
     assert set(tracker.getJobIdsForGroup()) == before
+
+
+def test_whole_transform_identical_with_ansi_on_and_off(spark):
+    from cargoline.sources.fixture import deliveries
+    from tests.conftest import SF_SMALL
+
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    results = {}
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            out = transform(deliveries(spark, SF_SMALL), "1997-01-01", "1998-06-30",
+                            with_timestamp=False)
+            results[ansi] = sorted(tuple(map(str, r)) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert len(results["true"]) == 844
+    assert results["true"] == results["false"]
