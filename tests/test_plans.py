@@ -51,3 +51,19 @@ def test_date_range_prunes_partitions_on_read_back(spark, sample, tmp_path, caps
 def test_dedup_is_partial_then_final(spark, sample, capsys):
     text = plan_text(transform(sample, "2025-01-01", "2025-12-31"), capsys)
     assert text.count("HashAggregate") >= 2
+
+
+def test_sink_observation_keeps_pushdown(spark, sample, tmp_path, capsys):
+    """The run job counts written rows with an Observation at the sink; the
+    filters below it must still reach the scan."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "p")
+    sample.write.parquet(path)
+    out = transform(spark.read.parquet(path), "2025-01-01", "2025-06-30")
+    observed = out.observe(Observation("rows"), F.count(F.lit(1)).alias("rows"))
+    text = plan_text(observed.hint("rebalance", "process_date"), capsys)
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "In(tipo_entrega" in pushed and "GreaterThanOrEqual(fecha_proceso" in pushed
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 2  # dedup + rebalance
