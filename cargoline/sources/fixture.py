@@ -118,6 +118,14 @@ def _fingerprint(sf_dir: str) -> str:
 _LANDED: dict[tuple[str, str], str] = {}
 
 
+def _app(spark: SparkSession) -> str:
+    """The application id (memo key); also works where no SparkContext is exposed."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # e.g. Spark Connect sessions
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def _landed_copy(spark: SparkSession, base: str) -> str | None:
     """A completed copy of one fingerprint, found through its marker file.
 
@@ -125,7 +133,7 @@ def _landed_copy(spark: SparkSession, base: str) -> str | None:
     written after the data job has committed.  Lookups are memoised per
     application.
     """
-    key = (spark.sparkContext.applicationId, base)
+    key = (_app(spark), base)
     if key in _LANDED:
         return _LANDED[key]
     try:
@@ -158,7 +166,7 @@ def land_deliveries(spark: SparkSession, sf_dir: str, fresh: bool = False) -> st
     path = f"{base}-{uuid.uuid4().hex}"
     derive_deliveries(spark, sf_dir).sortWithinPartitions("fecha_proceso").write.parquet(path)
     spark.createDataFrame([(path,)], "value string").coalesce(1).write.text(f"{path}.ready")
-    _LANDED[(spark.sparkContext.applicationId, base)] = path
+    _LANDED[(_app(spark), base)] = path
     return path
 
 
