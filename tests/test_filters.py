@@ -70,3 +70,39 @@ def test_valid_types(sample):
 def test_valid_types_case_sensitive_and_null(spark):
     data = [("GT", "20250101", "T", "R", t, "M", D(1), D(1), "ST") for t in ["zpre", None, "ZPRE", " ZPRE"]]
     assert filter_delivery_types(rows(spark, data)).count() == 1
+
+
+def test_text_range_prefilter_is_exact(spark):
+    """The pushed text range must never drop a row the parsed test keeps."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cargoline.functions import parse_process_date, process_date_between
+
+    rnd = random.Random(7)
+    start, end = dt.date(1997, 1, 1), dt.date(1998, 6, 30)
+    texts = set()
+    for _ in range(3000):
+        kind = rnd.randrange(5)
+        if kind == 0:  # real days around the bounds
+            d = start + dt.timedelta(days=rnd.randrange(-40, 600))
+            texts.add(d.strftime("%Y%m%d"))
+        elif kind == 1:  # digit strings of other lengths
+            texts.add("".join(rnd.choice("0123456789") for _ in range(rnd.randrange(5, 11))))
+        elif kind == 2:  # signs, spaces, separators
+            d = start + dt.timedelta(days=rnd.randrange(0, 500))
+            pre = rnd.choice(["+", "-", " ", "0", "1", ""])
+            post = rnd.choice(["", " ", "0", "Z"])
+            texts.add(pre + d.strftime(rnd.choice(["%Y%m%d", "%Y-%m-%d", "%y%m%d"])) + post)
+        elif kind == 3:  # impossible days
+            texts.add(f"{rnd.randrange(1995, 2000)}{rnd.randrange(0, 14):02d}{rnd.randrange(0, 33):02d}")
+        else:
+            texts.add(rnd.choice(["bad", "", "19970101\n", "１９９７０１０１"]))
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    both = df.select(
+        process_date_between("s", start, end).alias("fast"),
+        parse_process_date("s").between(F.lit(start), F.lit(end)).alias("exact"),
+    )
+    assert both.filter("coalesce(fast, false) <> coalesce(exact, false)").count() == 0
+    assert both.filter("exact").count() > 100
