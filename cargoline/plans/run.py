@@ -103,12 +103,9 @@ class RunResult:
     input_info: dict | None = None
 
     def written(self) -> DataFrame:
-        """The written rows, read back with ``process_date`` kept as text."""
-        schema = OUTPUT_SCHEMA if self.output.format != "parquet" else None
-        df = read_back(self.spark, self.output, schema)
-        if "process_date" in df.columns:
-            df = df.withColumn("process_date", F.col("process_date").cast("string"))
-        return df
+        """The written rows, read back with the standard schema (so partition
+        values such as ``process_date`` stay text, nothing is inferred)."""
+        return read_back(self.spark, self.output, OUTPUT_SCHEMA)
 
     def rows_per_partition(self) -> DataFrame:
         col = self.output.partition_column or "process_date"

@@ -109,8 +109,9 @@ def write_by_date(
     overwrite -> only the dates present in ``df`` are replaced (dynamic
     partition overwrite); append -> added; ignore -> dates already present
     are skipped; error -> ``SinkExistsError`` if any date is present.
-    Returns rows per written directory, ``(date_column, path, rows)``, read
-    from the files themselves; no value passes through the driver.
+    Returns ``(date_column, path, rows)`` for every date directory now under
+    the sink, counted from the files themselves; no value passes through the
+    driver.
     """
     if date_column not in df.columns:
         raise ValueError(f"date column {date_column!r} not in frame")
