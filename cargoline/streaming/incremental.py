@@ -5,8 +5,10 @@ keeps receiving delivery files.  Structured Streaming tracks which files were
 processed (file source + checkpoint); every micro-batch goes through the
 batch transformation and is appended to the sink.  De-duplication stays exact
 across batches: rows whose standard key is already in the sink are removed
-with an anti-join before the append.  The sink is read only inside the run's
-own date range (hive partition pruning on ``process_date``), and because the
+with an anti-join before the append.  The sink is read only for the dates
+present in the micro-batch (hive partition pruning on ``process_date``; that
+list is bounded by the number of days in the run's range), so a batch costs
+what its own dates hold, not everything written so far.  Because the
 anti-join also drops rows a failed attempt may already have committed, a
 retried micro-batch never writes a row twice.
 """
@@ -22,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cargoline.operators.filters import to_day
 from cargoline.plans.run import RunParams
 from cargoline.plans.transform import transform
 from cargoline.schema import DELIVERY_SCHEMA, OUTPUT_SCHEMA, RENAME_TO_STANDARD
@@ -33,41 +34,49 @@ from cargoline.sinks.files import read_back, write
 KEY = tuple(RENAME_TO_STANDARD.values())
 
 
-def _already_written(spark: SparkSession, params: RunParams) -> DataFrame | None:
-    lo = to_day(params.start_date).strftime("%Y%m%d")
-    hi = to_day(params.end_date).strftime("%Y%m%d")
+def _already_written(
+    spark: SparkSession, params: RunParams, dates: list[str]
+) -> DataFrame | None:
     try:
         existing = read_back(spark, params.output, OUTPUT_SCHEMA)
     except AnalysisException as exc:  # nothing written yet
         if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return existing.filter(F.col("process_date").between(lo, hi)).select(*KEY)
+    return existing.filter(F.col("process_date").isin(dates)).select(*KEY)
 
 
 def append_new_rows(batch: DataFrame, params: RunParams) -> None:
     """Transform one batch of raw rows and append the rows not yet in the sink."""
     spark = batch.sparkSession
-    out = transform(
-        batch,
-        params.start_date,
-        params.end_date,
-        country=params.country,
-        quality=params.quality,
-        rules=params.rules,
-    )
-    if params.quality.remove_duplicates:
-        seen = _already_written(spark, params)
-        if seen is not None:
-            same = functools.reduce(
-                operator.and_,
-                [
-                    (out[c] == seen[c]) if c == "process_date" else out[c].eqNullSafe(seen[c])
-                    for c in KEY
-                ],
-            )
-            out = out.join(seen, same, "left_anti")
-    write(out, dataclasses.replace(params.output, mode="append"))
+    batch = batch.persist()
+    try:
+        out = transform(
+            batch,
+            params.start_date,
+            params.end_date,
+            country=params.country,
+            quality=params.quality,
+            rules=params.rules,
+        )
+        # At most one value per day of the run's range.
+        dates = [r[0] for r in out.select("process_date").distinct().collect()]
+        if not dates:
+            return
+        if params.quality.remove_duplicates:
+            seen = _already_written(spark, params, dates)
+            if seen is not None:
+                same = functools.reduce(
+                    operator.and_,
+                    [
+                        (out[c] == seen[c]) if c == "process_date" else out[c].eqNullSafe(seen[c])
+                        for c in KEY
+                    ],
+                )
+                out = out.join(seen, same, "left_anti")
+        write(out, dataclasses.replace(params.output, mode="append"))
+    finally:
+        batch.unpersist()
 
 
 def start_incremental_run(

@@ -54,3 +54,17 @@ def test_retried_micro_batch_writes_nothing_twice(spark, sample, tmp_path):
     append_new_rows(sample, params)
     append_new_rows(sample, params)  # the same batch again, as after a failure
     assert read_back(spark, out, OUTPUT_SCHEMA).count() == 5
+
+
+def test_sink_read_is_pruned_to_the_batch_dates(spark, sample, tmp_path, capsys):
+    from cargoline.streaming.incremental import _already_written, append_new_rows
+
+    out = SinkSpec(str(tmp_path / "o"))
+    params = RunParams("2025-01-01", "2025-12-31", output=out)
+    append_new_rows(sample, params)
+    seen = _already_written(spark, params, ["20250115"])
+    capsys.readouterr()
+    seen.explain("formatted")
+    text = capsys.readouterr().out
+    assert "PartitionFilters: [" in text and "20250115" in text.split("PartitionFilters: [")[1]
+    assert seen.count() == 2
