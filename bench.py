@@ -1,7 +1,8 @@
 """Benchmark: run the registered queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_QUERIES (comma list, default all).  Every query is run to
+(default 8), BENCH_QUERIES (comma list, default all), BENCH_EVENT_LOG_DIR
+(optional: write Spark's event log there; see tools/stage_times.py).  Every query is run to
 completion through Spark's ``noop`` sink (full evaluation, nothing collected
 to the driver), once, after one warm-up run of each on sf0.001.
 """
@@ -80,7 +81,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = os.environ.get("BENCH_QUERIES")
     names = [n for n in wanted.split(",") if n] if wanted else sorted(QUERIES)
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16)
+    spark = local_session(
+        cpus,
+        shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
+        event_log_dir=os.environ.get("BENCH_EVENT_LOG_DIR"),
+    )
     # Warm-up: JVM start, JIT and whole-stage code generation (generated code
     # is cached by its text, which does not depend on the data size), by
     # running every query once on the smallest table set next to sf_dir.

@@ -9,8 +9,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A ``local[cores]`` session with AQE on and the UI off (tests, bench)."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, event_log_dir: str | None = None
+) -> SparkSession:
+    """A ``local[cores]`` session with AQE on and the UI off (tests, bench).
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task times
+    for ``tools/stage_times.py``).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cargoline")
@@ -25,6 +31,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CARGOLINE_DRIVER_MEMORY", "8g"))
     )
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config(
+            "spark.eventLog.dir", event_log_dir
+        )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
