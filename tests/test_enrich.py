@@ -119,3 +119,36 @@ def test_select_final_order_and_absent(sample_clean):
     final = select_final(out.withColumn("extra", out.price))
     assert final.columns == list(FINAL_COLUMNS)
     assert select_final(out.drop("processing_timestamp")).columns == list(FINAL_COLUMNS[:-1])
+
+
+def test_decimal_arithmetic_matches_exact_half_up(spark):
+    """Unit price, total value and box conversion equal exact decimal
+    arithmetic rounded half-up to 6 places, over random 18-digit values."""
+    import decimal
+    import random
+
+    ctx = decimal.Context(prec=80, rounding=decimal.ROUND_HALF_UP)
+    q6 = D("0.000001")
+    rnd = random.Random(11)
+
+    def rand_dec(int_digits):
+        sign = -1 if rnd.random() < 0.2 else 1
+        whole = rnd.randrange(10 ** rnd.randrange(0, int_digits + 1))
+        frac = rnd.randrange(10 ** 18)
+        return D(sign * (whole * 10 ** 18 + frac)).scaleb(-18)
+
+    data = []
+    for i in range(400):
+        p, c = rand_dec(6), rand_dec(4)
+        if i % 17 == 0:
+            c = D(0)
+        unit = rnd.choice(["CS", "cs", "ST", None])
+        data.append(("GT", "20250101", "T", "R", "ZPRE", f"m{i}", p, c, unit))
+    out = add_calculated_columns(convert_units(rows(spark, data)), with_timestamp=False)
+    for r in out.collect():
+        p, c = r.precio, r.cantidad
+        qstd = (ctx.multiply(c, 20) if (r.unidad or "").upper() == "CS" else c).quantize(q6, context=ctx)
+        assert r.quantity_standardized == qstd, r
+        assert r.total_value == ctx.multiply(p, qstd).quantize(q6, context=ctx), r
+        want = ctx.divide(p, c).quantize(q6, context=ctx) if c > 0 else D(0)
+        assert r.unit_price == want, r
