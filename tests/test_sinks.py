@@ -133,3 +133,13 @@ def test_rebalance_keeps_one_file_set_per_date(spark, output, tmp_path, capsys):
         if d.startswith("process_date="):
             files = [f for f in os.listdir(os.path.join(spec.path, d)) if f.endswith(".parquet")]
             assert len(files) == 1
+
+
+def test_sink_defaults_and_custom_values(tmp_path):
+    spec = SinkSpec(str(tmp_path))
+    assert (spec.format, spec.partition_column, spec.mode, spec.compression) == (
+        "parquet", "process_date", "overwrite", "snappy")
+    custom = SinkSpec(str(tmp_path), format="CSV", partition_column="country_code",
+                      mode="append", compression="gzip")
+    assert (custom.format, custom.partition_column, custom.mode, custom.compression) == (
+        "csv", "country_code", "append", "gzip")

@@ -91,3 +91,13 @@ def test_whole_transform_identical_with_ansi_on_and_off(spark):
         spark.conf.set("spark.sql.ansi.enabled", old)
     assert len(results["true"]) == 844
     assert results["true"] == results["false"]
+
+
+def test_rule_defaults():
+    r = DeliveryRules()
+    assert r.cs_to_st_factor == 20
+    assert r.routine_delivery_types == ("ZPRE", "ZVE1")
+    assert r.bonus_delivery_types == ("Z04", "Z05")
+    assert r.valid_delivery_types == ("ZPRE", "ZVE1", "Z04", "Z05")
+    custom = DeliveryRules(10, ["TYPE1"], ["TYPE2"])
+    assert (custom.cs_to_st_factor, custom.valid_delivery_types) == (10, ("TYPE1", "TYPE2"))
