@@ -143,3 +143,12 @@ def test_sink_defaults_and_custom_values(tmp_path):
                       mode="append", compression="gzip")
     assert (custom.format, custom.partition_column, custom.mode, custom.compression) == (
         "csv", "country_code", "append", "gzip")
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_write_by_date_text_formats(spark, output, tmp_path, fmt):
+    spec = SinkSpec(str(tmp_path / fmt), format=fmt)
+    got = {r.process_date: r.rows for r in write_by_date(output, spec, schema=OUTPUT_SCHEMA).collect()}
+    assert got == {"20250115": 2, "20250220": 1, "20250315": 1, "20250325": 1}
+    back = read_back(spark, spec, OUTPUT_SCHEMA)
+    assert _values(back) == _values(output)

@@ -101,3 +101,13 @@ def test_rule_defaults():
     assert r.valid_delivery_types == ("ZPRE", "ZVE1", "Z04", "Z05")
     custom = DeliveryRules(10, ["TYPE1"], ["TYPE2"])
     assert (custom.cs_to_st_factor, custom.valid_delivery_types) == (10, ("TYPE1", "TYPE2"))
+
+
+def test_output_types_match_the_standard_schema(sample):
+    from cargoline.schema import OUTPUT_SCHEMA
+
+    out = transform(sample, "2025-01-01", "2025-12-31")
+    assert [(f.name, f.dataType) for f in out.schema] == [
+        (f.name, f.dataType) for f in OUTPUT_SCHEMA
+    ]
+    assert out.schema["is_routine_delivery"].nullable is False
