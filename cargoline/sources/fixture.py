@@ -4,11 +4,10 @@ The test tables have no NULLs, blanks, duplicates or bad dates, so this
 derivation adds them by fixed arithmetic on keys (see FIXTURES.md §3).
 
 Plan: ``orders`` is joined to ``customer`` first, then ``lineitem`` to that,
-so the largest table is shuffled once.  ``orders`` x ``customer`` grows with
-the data like ``lineitem`` does, so that join is declared a sort-merge join:
-broadcasting a fact-sized side has no size bound, and a broadcast join would
-run the whole derivation inside the scan tasks of ``lineitem`` (one task per
-file split).  The ``customer`` join is left to Spark's size check
+so the largest table is shuffled once.  Both sides of the ``lineitem`` join
+grow with the data, so it is declared a sort-merge join: broadcasting a
+fact-sized side has no size bound, and a broadcast join would run the whole
+derivation inside the scan tasks of ``lineitem`` (one task per file split).  The ``customer`` join is left to Spark's size check
 (``spark.sql.autoBroadcastJoinThreshold``, sort-merge beyond it); AQE splits
 skewed join partitions.  The copied rows (``l_partkey % 5 = 0``) come from a
 generator in the same stage instead of a second scan-and-join.
