@@ -28,6 +28,10 @@ def local_session(
         # Local data is small: aim AQE at ~8 MB partitions so eight cores stay
         # busy (clusters keep their own, larger, advisory size).
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+        # A listing job pays off for many folders on a remote store; on a
+        # local disk the driver lists hundreds of date folders in ~0.2 s
+        # where a listing job costs ~2 s.
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "10000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CARGOLINE_DRIVER_MEMORY", "8g"))
     )
