@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import tempfile
 import uuid
@@ -68,5 +69,10 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused location under the shared root."""
-    return f"{shared_root(spark)}/cargoline/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused location under the shared root.
+
+    Grouped by UTC day (``cargoline/scratch/<yyyyMMdd>/``) so a retention
+    policy on the shared folder can drop whole days of query outputs.
+    """
+    day = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d")
+    return f"{shared_root(spark)}/cargoline/scratch/{day}/{name}-{uuid.uuid4().hex}"
