@@ -26,9 +26,11 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Local data is small: aim AQE at ~8 MB partitions so eight cores stay
-        # busy (clusters keep their own, larger, advisory size).
+        # Local data is small: aim AQE at ~8 MB partitions and let it go down
+        # to 256 KB so eight cores stay busy, e.g. several tasks share the
+        # date folders of a partitioned write (clusters keep their own sizes).
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         # A listing job pays off for many folders on a remote store; on a
         # local disk the driver lists hundreds of date folders in ~0.2 s
         # where a listing job costs ~2 s.
