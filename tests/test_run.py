@@ -120,3 +120,30 @@ def test_optional_input_profile(spark, sample, tmp_path):
                        profile_input=True)
     info = run_delivery_job(sample, params).input_info
     assert info["total_records"] == 10 and info["distinct_values"]["pais"] == 4
+
+
+def test_settings_tree_defaults_and_overrides(tmp_path):
+    base = {"filters": {"start_date": "2025-01-01", "end_date": "2025-06-30"},
+            "paths": {"output_base": str(tmp_path)}}
+    p = RunParams.from_mapping(base)
+    assert p.country is None and p.rules.cs_to_st_factor == 20
+    assert p.rules.valid_delivery_types == ("ZPRE", "ZVE1", "Z04", "Z05")
+    assert p.quality.remove_duplicates and p.quality.filter_valid_delivery_types
+    assert (p.output.format, p.output.mode, p.output.partition_column, p.output.compression) == (
+        "parquet", "overwrite", "process_date", "snappy")
+    p.check()
+
+    tree = dict(base, data_quality={}, filters=dict(base["filters"], country="pe"),
+                output={"format": "JSON", "mode": "append"})
+    q = RunParams.from_mapping(tree)
+    assert q.quality == RunParams.from_mapping(base).quality  # empty section: all on
+    assert q.country == "pe" and (q.output.format, q.output.mode) == ("json", "append")
+    q.check()
+
+    off = RunParams.from_mapping(dict(base, data_quality={"remove_duplicates": False}))
+    assert off.quality.remove_duplicates is False and off.quality.remove_empty_material is True
+
+
+def test_settings_tree_missing_dates_fail_the_check(tmp_path):
+    with pytest.raises(ValueError):
+        RunParams.from_mapping({"paths": {"output_base": str(tmp_path)}}).check()
