@@ -1,7 +1,8 @@
 """cargoline: product-delivery analytics on Spark DataFrames.
 
 Every operator is a ``DataFrame -> DataFrame`` function built from
-``pyspark.sql.functions``; only sinks run actions.  See README.md.
+``pyspark.sql.functions``; actions run only in sinks and in explicit
+reporting helpers.  See README.md.
 """
 
 from cargoline.plans.run import RunParams, RunResult, run_delivery_job, run_delivery_job_from_csv
