@@ -111,10 +111,12 @@ def write_by_date(
     are skipped; error -> ``SinkExistsError`` if any date is present.
     Returns ``(date_column, path, rows)`` for every date directory now under
     the sink, counted from the files themselves; no value passes through the
-    driver.
+    driver.  The sink is read with ``schema``, by default the frame's own, so
+    date values keep their type and an empty sink needs no inference.
     """
     if date_column not in df.columns:
         raise ValueError(f"date column {date_column!r} not in frame")
+    schema = schema if schema is not None else df.schema
     spark = df.sparkSession
     mode = spec.mode
     if mode in ("ignore", "error", "errorifexists"):

@@ -152,3 +152,11 @@ def test_write_by_date_text_formats(spark, output, tmp_path, fmt):
     assert got == {"20250115": 2, "20250220": 1, "20250315": 1, "20250325": 1}
     back = read_back(spark, spec, OUTPUT_SCHEMA)
     assert _values(back) == _values(output)
+
+
+def test_write_by_date_empty_frame_and_default_schema(spark, tmp_path):
+    empty = spark.createDataFrame([], "process_date string, x int")
+    assert write_by_date(empty, SinkSpec(str(tmp_path / "e"))).count() == 0
+    df = spark.createDataFrame([("20250101", 1), ("20250102", 2)], "process_date string, x int")
+    got = write_by_date(df, SinkSpec(str(tmp_path / "d"))).collect()
+    assert sorted((r.process_date, r.rows) for r in got) == [("20250101", 1), ("20250102", 1)]
