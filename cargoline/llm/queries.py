@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from cargoline.llm.simhash import op2
+from cargoline.llm.substring import op10
+from cargoline.llm.suffix import op5
 
 QUERIES = {
     "op2_simhash_near_dedup": op2,
+    "op5_suffix_array_dedup": op5,
+    "op10_substring_dedup": op10,
 }
 
 ORACLES: dict[str, str] = {}
