@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from cargoline.llm.classifier import op7
+from cargoline.llm.decontaminate import op4
+from cargoline.llm.packing import op6
+from cargoline.llm.perplexity import op9
 from cargoline.llm.simhash import op2
 from cargoline.llm.substring import op10
 from cargoline.llm.suffix import op5
 
 QUERIES = {
     "op2_simhash_near_dedup": op2,
+    "op4_benchmark_decontamination": op4,
     "op5_suffix_array_dedup": op5,
+    "op6_packing": op6,
+    "op7_quality_classifier": op7,
+    "op9_quality_rules": op9,
     "op10_substring_dedup": op10,
 }
 
