@@ -121,12 +121,14 @@ def candidates(runs: DataFrame, name: str) -> DataFrame:
     """Runs whose anchor occurs at two places or more, landed.
 
     The first shuffle carries one minimum and one maximum per anchor, combined
-    before it; the second is a semi-join, whose hot anchors AQE splits.
+    before it, and is written, so that the second, a semi-join, stands on two plain
+    exchanges and AQE can split its hot anchors.
     """
     tag = F.xxhash64("doc", "place")
-    shared = (
+    shared = land(
         runs.select("anchor", tag.alias("tag")).groupBy("anchor").agg(F.min("tag").alias("a"), F.max("tag").alias("b"))
-        .where("a <> b").select("anchor")
+        .where("a <> b").select("anchor"),
+        f"{name}-anchors",
     )
     return land(runs.join(shared, "anchor", "left_semi"), name)
 
@@ -139,7 +141,7 @@ def classes(cand: DataFrame) -> DataFrame:
 
 def contested(folded: DataFrame) -> DataFrame:
     """Classes whose anchor has another class, with their number ``members``."""
-    many = folded.groupBy("anchor").agg(F.count("*").alias("members")).where("members > 1")
+    many = land(folded.groupBy("anchor").agg(F.count("*").alias("members")).where("members > 1"), "contested")
     return folded.join(many, "anchor")
 
 
