@@ -116,7 +116,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, width: int, k:
     shards = bodies.where(F.col("members") <= HOT_CLASSES).repartition("anchor").sortWithinPartitions("anchor", "doc", "place")
     hashes = window_hashes(bodies.where(F.col("members") > HOT_CLASSES), word_symbols(), width)
     first = hashes.groupBy("h", "g").agg(F.min(F.struct("doc", "place")).alias("rep"), F.max(F.struct("doc", "place")).alias("last"))
-    hot = hashes.join(first.where("rep <> last").select("h", "g", "rep"), ["h", "g"]).where(F.struct("doc", "place") != F.col("rep"))
+    hot = hashes.join(land(first.where("rep <> last").select("h", "g", "rep"), "phrase-windows"), ["h", "g"]).where(F.struct("doc", "place") != F.col("rep"))
     return whole.union(shards.mapInArrow(run, WINDOW_SCHEMA)).union(hot.select("doc", "place", F.lit(1).alias("n")))
 
 

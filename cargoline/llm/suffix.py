@@ -148,7 +148,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, width: int, k:
     shards = bodies.where(F.col("members") <= HOT_CLASSES).repartition("anchor").sortWithinPartitions("anchor", "doc", "place")
     hashes = window_hashes(bodies.where(F.col("members") > HOT_CLASSES), byte_symbols, width)
     tag = F.xxhash64("doc", "place")
-    twice = hashes.groupBy("h", "g").agg(F.min(tag).alias("a"), F.max(tag).alias("b")).where("a <> b").select("h", "g")
+    twice = land(hashes.groupBy("h", "g").agg(F.min(tag).alias("a"), F.max(tag).alias("b")).where("a <> b").select("h", "g"), "byte-windows")
     hot = hashes.join(twice, ["h", "g"], "left_semi").select("doc", "place", F.lit(1).alias("n"))
     # One member stands for its class in a shard; the others are in `whole`.
     return whole.union(shards.mapInArrow(run, WINDOW_SCHEMA)).union(hot)
