@@ -64,11 +64,11 @@ def process_date_between(
     comparison keeps the exact semantics.
     """
     t = _col(text)
-    lo, hi = start.strftime("%Y%m%d"), end.strftime("%Y%m%d")
+    lo, hi = (d.isoformat().replace("-", "") for d in (start, end))
     return (
         (t >= F.lit(lo))
         & (t <= F.lit(hi))
-        & parse_process_date(t).between(F.lit(start), F.lit(end))
+        & parse_process_date(t).between(*(F.lit(d.isoformat()).cast("date") for d in (start, end)))
     )
 
 

@@ -137,13 +137,22 @@ def output_sql(**kw) -> str:
     return with_fixture(CLEANED, output_cte(**kw)) + "SELECT * FROM output"
 
 
-# Text as Spark's CSV writer + reader return it: outer spaces trimmed on
-# write, empty text read back as NULL.
-_CSV_MATERIAL = "nullif(trim(material), '') AS material"
+# Text as the CSV scan returns it: spaces kept, empty text read as NULL.
+_CSV_MATERIAL = "nullif(material, '') AS material"
 _CSV_RAW = (
     f"pais, fecha_proceso, transporte, ruta, tipo_entrega, {_CSV_MATERIAL}, precio, cantidad, unidad"
 )
 
+# The second of two runs reports its own dates only.
+_PER_DATE = (
+    with_fixture(CLEANED, output_cte("first_run", *Q.FIRST_HALF), output_cte("second_run", *Q.SECOND_HALF))
+    + "SELECT process_date, count(*) AS rows FROM second_run GROUP BY process_date"
+)
+_METRICS = (
+    with_fixture(CLEANED, output_cte(start=Q.LATER_START, end=Q.LATER_END))
+    + "SELECT 'parquet' AS output_format, count(*) AS rows_written, count(DISTINCT process_date) AS partition_values FROM output"
+)
+
 ORACLES: dict[str, str] = {
     # sources
     "csv_scan_typed": with_fixture() + f"SELECT {_CSV_RAW} FROM deliveries",
@@ -163,14 +172,16 @@ ORACLES: dict[str, str] = {
     + "SELECT * FROM output UNION ALL SELECT * FROM output",
     "sink_overwrite": output_sql(start=Q.LATER_START, end=Q.LATER_END),
     "sink_ignore": output_sql(),
-    "sink_by_date": with_fixture(
-        CLEANED,
-        output_cte("first_run", *Q.FIRST_HALF),
-        output_cte("second_run", *Q.SECOND_HALF),
-        "kept AS (SELECT * FROM first_run WHERE process_date NOT IN "
-        "(SELECT process_date FROM second_run) UNION ALL SELECT * FROM second_run)",
-    )
-    + "SELECT process_date, count(*) AS rows FROM kept GROUP BY process_date",
+    "sink_csv_multiline": with_fixture(CLEANED, output_cte())
+    + "SELECT * REPLACE (material_code || chr(10) || 'B' AS material_code) FROM output",
+    **{name: _PER_DATE for name in ("sink_by_date", "sink_by_date_append", "sink_by_date_csv", "sink_by_date_json")},
+    "sink_by_date_ignore": _PER_DATE.replace(
+        "FROM second_run", "FROM second_run WHERE process_date NOT IN (SELECT process_date FROM first_run)"
+    ),
+    "run_delivery_job_csv": output_sql(),
+    "run_metrics": _METRICS,
+    "run_metrics_append": _METRICS,
+    "run_metrics_ignore": "SELECT 'parquet' AS output_format, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS partition_values",
     "run_delivery_job": output_sql(),
     # filters, de-duplication
     "drop_blank_material": with_fixture() + f"SELECT {RAW} FROM deliveries WHERE {NON_BLANK}",
@@ -198,8 +209,8 @@ ORACLES: dict[str, str] = {
     f"{total()} AS total_value FROM deliveries",
     "unit_price": with_fixture() + f"SELECT {RAW}, {UNIT_PRICE} AS unit_price FROM deliveries",
     "quality_flag": with_fixture() + f"SELECT {RAW}, {FLAG} AS data_quality_flag FROM deliveries",
-    "processing_timestamp": with_fixture()
-    + f"SELECT {RAW}, true AS has_processing_timestamp FROM deliveries",
+    "processing_timestamp": with_fixture(CLEANED, output_cte())
+    + "SELECT count(*) AS rows, CAST(1 AS BIGINT) AS timestamps, CAST(0 AS BIGINT) AS nulls, true AS not_before_start FROM output",
     "parse_process_date": with_fixture()
     + f"SELECT fecha_proceso, {DAY} AS process_day FROM deliveries",
     "rename_standard": with_fixture()

@@ -1,28 +1,30 @@
 """The delivery job (X4): source -> transformation -> sink, one scan per sink.
 
 The original job counted rows after every step (16 Spark actions, each
-re-reading the input).  Here the transformation is one lazy plan, the rows
-written are counted by an ``Observation`` attached at the sink (no extra
-job), and the per-partition summary is read back from the written files.
+re-reading the input).  Here the input profile is one job and the transformation
+and write are one lazy plan.  What the run reports (rows, partition values) is
+counted from the files this run committed, found by listing the sink before
+and after, so appends, retried tasks and skipped writes report what is there.
 """
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import functools
 import logging
 import time
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoline.operators.filters import to_day
 from cargoline.operators.profile import dataset_info, output_summary, rows_per_partition
 from cargoline.plans.transform import DeliveryRules, QualityChecks, transform
 from cargoline.schema import COUNTRY_CODES, OUTPUT_SCHEMA
-from cargoline.sinks.files import SinkSpec, read_back, write
+from cargoline.sinks.files import SinkSpec, read_back, write, written_by
 from cargoline.sources.csv import read_deliveries
 
 log = logging.getLogger(__name__)
@@ -38,7 +40,8 @@ class RunParams:
     country: str | None = None
     rules: DeliveryRules = DeliveryRules()
     quality: QualityChecks = QualityChecks()
-    profile_input: bool = False
+    profile_input: bool = True
+    multiline: bool = True  # the input CSV's fields may hold line breaks; else files can be split
 
     @classmethod
     def from_mapping(cls, cfg: Mapping[str, Any]) -> RunParams:
@@ -73,6 +76,8 @@ class RunParams:
                 bonus_delivery_types=get("transformations.delivery_types.bonus"),
             ),
             quality=QualityChecks.of(get("data_quality", {})),
+            profile_input=bool(get("reader.profile", True)),
+            multiline=bool(get("reader.multiline", True)),
         )
 
     def check(self) -> None:
@@ -95,34 +100,37 @@ def _checked_day(value: str, name: str) -> dt.date:
 
 @dataclasses.dataclass
 class RunResult:
+    """What one run wrote: ``files`` are the files it added, none for a skipped write."""
+
     output_path: str
-    rows_written: int
     seconds: float
     spark: SparkSession
     output: SinkSpec
+    files: list[str]
     input_info: dict | None = None
 
     def written(self) -> DataFrame:
-        """The written rows, read back with the standard schema (so partition
+        """This run's rows, read back with the standard schema (so partition
         values such as ``process_date`` stay text, nothing is inferred)."""
-        return read_back(self.spark, self.output, OUTPUT_SCHEMA)
+        return read_back(self.spark, self.output, OUTPUT_SCHEMA, self.files)
+
+    @functools.cached_property
+    def rows_written(self) -> int:
+        """Rows in the files this run committed."""
+        return self.written().count()
 
     def rows_per_partition(self) -> DataFrame:
-        col = self.output.partition_column or "process_date"
-        return rows_per_partition(self.written(), col)
+        return rows_per_partition(self.written(), self.output.partition_column or "process_date")
 
     def summary(self) -> DataFrame:
-        col = self.output.partition_column or "process_date"
-        return output_summary(self.written(), col)
+        """``total_records`` and ``partition_values`` of this run alone."""
+        return output_summary(self.written(), self.output.partition_column or "process_date")
 
     def metrics(self) -> DataFrame:
-        """One row of run metrics: target, format, rows written, partition
-        values found in the target, seconds."""
-        values = self.summary().first()["partition_values"]
-        return self.spark.createDataFrame(
-            [(self.output_path, self.output.format, self.rows_written, values, float(self.seconds))],
-            "output_path string, output_format string, rows_written bigint, "
-            "partition_values bigint, seconds double",
+        """One row of run metrics: target, format, rows written and partition values of this run, seconds."""
+        return self.summary().select(
+            F.lit(self.output_path).alias("output_path"), F.lit(self.output.format).alias("output_format"),
+            F.col("total_records").alias("rows_written"), "partition_values", F.lit(float(self.seconds)).alias("seconds"),
         )
 
 
@@ -139,19 +147,16 @@ def run_delivery_job(source: DataFrame, params: RunParams) -> RunResult:
         quality=params.quality,
         rules=params.rules,
     )
-    seen = Observation("delivery_sink")
-    out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-    path = write(out, params.output)
-    rows = int(seen.get.get("rows", 0))
+    added = written_by(lambda: write(out, params.output), source.sparkSession, params.output)
     secs = time.time() - t0
-    log.info("wrote %d rows to %s in %.2fs", rows, path, secs)
-    return RunResult(path, rows, secs, source.sparkSession, params.output, info)
+    log.info("wrote %d files to %s in %.2fs", len(added), params.output.path, secs)
+    return RunResult(params.output.path, secs, source.sparkSession, params.output, added, info)
 
 
 def run_delivery_job_from_csv(spark: SparkSession, input_path: str, params: RunParams) -> RunResult:
     """The original entry point: deliveries CSV in, standard output files out."""
     params.check()
-    return run_delivery_job(read_deliveries(spark, input_path), params)
+    return run_delivery_job(read_deliveries(spark, input_path, multiline=params.multiline), params)
 
 
 def run_from_mapping(spark: SparkSession, cfg: Mapping[str, Any]) -> RunResult:

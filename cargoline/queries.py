@@ -35,13 +35,13 @@ from cargoline.operators.profile import (
     rows_per_partition,
 )
 from cargoline.functions import parse_process_date, quality_flag, total_value, unit_price
-from cargoline.plans.run import RunParams, run_delivery_job
+from cargoline.plans.run import RunParams, run_delivery_job, run_delivery_job_from_csv
 from cargoline.plans.transform import DeliveryRules, transform
 from cargoline.schema import DELIVERY_SCHEMA, OUTPUT_SCHEMA, RAW_COLUMNS
 from cargoline.session import scratch_path
 from cargoline.sinks.files import SinkSpec, read_back, write, write_by_date
 from cargoline.sources.csv import read_csv, read_deliveries
-from cargoline.sources.fixture import deliveries
+from cargoline.sources.fixture import deliveries, land_deliveries
 
 # Run parameters of the registered queries (the test tables span 1995-2001).
 START, END = "1997-01-01", "1998-06-30"
@@ -77,38 +77,39 @@ def _read_output(spark: SparkSession, spec: SinkSpec) -> DataFrame:
 # --- sources ------------------------------------------------------------------
 
 
-def _fixture_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Land the deliveries table as a headed CSV through the CSV sink."""
-    spec = _spec(spark, name, format="csv", partition_column=None)
-    return write(deliveries(spark, sf_dir), spec)
+_CSV_DONE: set[str] = set()
+
+
+def _fixture_csv(spark: SparkSession, sf_dir: str, sep: str = ",") -> str:
+    """The deliveries as CSV, white space kept; one comma (headed) and one semicolon copy per landed table."""
+    source = land_deliveries(spark, sf_dir)
+    path = f"{source}-csv-{'comma' if sep == ',' else 'semicolon'}-{spark.sparkContext.applicationId}"
+    if path not in _CSV_DONE:
+        (
+            spark.read.schema(DELIVERY_SCHEMA).parquet(source).write.mode("overwrite")
+            .option("header", sep == ",").option("sep", sep).option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+        )
+        _CSV_DONE.add(path)
+    return path
 
 
 def q_csv_scan_typed(spark, sf_dir):
-    path = _fixture_csv(spark, sf_dir, "csv-typed")
-    return read_csv(spark, path, header=True, schema=DELIVERY_SCHEMA)
+    return read_csv(spark, _fixture_csv(spark, sf_dir), header=True, schema=DELIVERY_SCHEMA)
 
 
 def q_csv_scan_inferred(spark, sf_dir):
-    path = _fixture_csv(spark, sf_dir, "csv-inferred")
-    return read_csv(spark, path, header=True, schema=None)
+    path = _fixture_csv(spark, sf_dir)
+    return read_csv(spark, path, header=True, schema=None, timestamp_format="yyyy-MM-dd'T'HH:mm:ss")
 
 
 def q_csv_scan_delimited(spark, sf_dir):
-    path = scratch_path(spark, "csv-delimited")
-    (
-        deliveries(spark, sf_dir)
-        .write.option("header", False)
-        .option("sep", ";")
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    path = _fixture_csv(spark, sf_dir, ";")
     return read_csv(spark, path, header=False, schema=DELIVERY_SCHEMA, delimiter=";")
 
 
 def q_deliveries_scan(spark, sf_dir):
-    path = _fixture_csv(spark, sf_dir, "csv-deliveries")
-    return read_deliveries(spark, path)
+    return read_deliveries(spark, _fixture_csv(spark, sf_dir))
 
 
 # --- sinks --------------------------------------------------------------------
@@ -165,13 +166,41 @@ def q_sink_ignore(spark, sf_dir):
     return _read_output(spark, first)
 
 
-def q_sink_by_date(spark, sf_dir):
-    spec = _spec(spark, "sink-by-date", format="parquet", mode="overwrite")
+def q_sink_csv_multiline(spark, sf_dir):
+    spec = _spec(spark, "sink-csv-multiline", format="csv")
+    out = _values(_output(spark, sf_dir)).withColumn("material_code", F.concat("material_code", F.lit("\nB")))
+    write(out, spec)
+    return _read_output(spark, spec)
+
+
+def _by_date(spark, sf_dir, name, fmt="parquet", mode="overwrite"):
+    """Two overlapping runs; the rows per date that the second one wrote."""
+    spec = _spec(spark, name, format=fmt, mode=mode)
     write_by_date(_output(spark, sf_dir, *FIRST_HALF), spec, schema=OUTPUT_SCHEMA)
     per_dir = write_by_date(_output(spark, sf_dir, *SECOND_HALF), spec, schema=OUTPUT_SCHEMA)
     return per_dir.select("process_date", "rows")
 
 
+def q_sink_by_date(spark, sf_dir):
+    return _by_date(spark, sf_dir, "sink-by-date")
+
+
+def q_sink_by_date_append(spark, sf_dir):
+    return _by_date(spark, sf_dir, "sink-by-date-append", mode="append")
+
+
+def q_sink_by_date_ignore(spark, sf_dir):
+    return _by_date(spark, sf_dir, "sink-by-date-ignore", mode="ignore")
+
+
+def q_sink_by_date_csv(spark, sf_dir):
+    return _by_date(spark, sf_dir, "sink-by-date-csv", fmt="csv")
+
+
+def q_sink_by_date_json(spark, sf_dir):
+    return _by_date(spark, sf_dir, "sink-by-date-json", fmt="json")
+
+
 # --- filters, de-duplication, expressions --------------------------------------
 
 
@@ -236,10 +265,14 @@ def q_quality_flag(spark, sf_dir):
 
 
 def q_processing_timestamp(spark, sf_dir):
-    d = add_calculated_columns(convert_units(deliveries(spark, sf_dir)))
-    return d.select(
-        *RAW_COLUMNS,
-        F.col("processing_timestamp").isNotNull().alias("has_processing_timestamp"),
+    """The timestamps in the written files: how many rows, values and nulls, and whether
+    the one value is not older than the run's start."""
+    started = spark.range(1).select(F.current_timestamp()).first()[0]
+    result = run_delivery_job(deliveries(spark, sf_dir), RunParams(START, END, output=_spec(spark, "run-time"), profile_input=False))
+    t = F.col("processing_timestamp")
+    return result.written().agg(
+        F.count("*").alias("rows"), F.countDistinct(t).alias("timestamps"), F.count_if(t.isNull()).alias("nulls"),
+        F.bool_and(t >= F.lit(started)).alias("not_before_start"),
     )
 
 
@@ -304,6 +337,32 @@ def q_run_delivery_job(spark, sf_dir):
     return _values(result.written())
 
 
+def q_run_delivery_job_csv(spark, sf_dir):
+    """CSV in, files out; the fixture's fields hold no line breaks, so its files are split."""
+    params = RunParams(START, END, output=_spec(spark, "run-job-csv", format="parquet"), multiline=False)
+    return _values(run_delivery_job_from_csv(spark, _fixture_csv(spark, sf_dir), params).written())
+
+
+def _metrics(spark, sf_dir, name, mode, second):
+    spec = _spec(spark, name, mode=mode)
+    source = deliveries(spark, sf_dir)
+    run_delivery_job(source, RunParams(START, END, output=spec, profile_input=False))
+    result = run_delivery_job(source, RunParams(*second, output=spec, profile_input=False))
+    return result.metrics().select("output_format", "rows_written", "partition_values")
+
+
+def q_run_metrics(spark, sf_dir):
+    return _metrics(spark, sf_dir, "run-metrics", "overwrite", (LATER_START, LATER_END))
+
+
+def q_run_metrics_append(spark, sf_dir):
+    return _metrics(spark, sf_dir, "run-metrics-append", "append", (LATER_START, LATER_END))
+
+
+def q_run_metrics_ignore(spark, sf_dir):
+    return _metrics(spark, sf_dir, "run-metrics-ignore", "ignore", (LATER_START, LATER_END))
+
+
 # --- profiles and audits ----------------------------------------------------------
 
 

@@ -12,14 +12,20 @@ from __future__ import annotations
 
 import dataclasses
 import logging
+import re
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from cargoline.storage import files, partition_values
 
 log = logging.getLogger(__name__)
 
+JOB_ID = re.compile(r"/part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$")
+EXISTS = "cargoline: date already in the sink"
 FORMATS = ("parquet", "csv", "json")
 MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
 
@@ -75,27 +81,45 @@ def write(df: DataFrame, spec: SinkSpec, partition_by: str | None = None) -> str
     return spec.path
 
 
+def written_by(write_call: Callable[[], object], spark: SparkSession, spec: SinkSpec) -> list[str]:
+    """Run ``write_call`` and return the files it added to the sink.
+
+    Compares two listings of the sink; nothing is read.  Files of another
+    writer that lands in the same sink at the same time would count too.
+    """
+    before = set(files(spark, spec.path))
+    write_call()
+    return [f.path for f in files(spark, spec.path) if f not in before]
+
+
 def read_back(
-    spark: SparkSession, spec: SinkSpec, schema: StructType | None = None
+    spark: SparkSession,
+    spec: SinkSpec,
+    schema: StructType | str | None = None,
+    paths: list[str] | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Read a sink's output again (partition columns come back last)."""
+    """Read a sink's output, or only its files ``paths`` (partition columns come back last).
+
+    CSV fields may hold line breaks, so CSV files are read whole;
+    ``multiline=False`` lets Spark split files that hold none.
+    """
+    if paths is not None and not paths:
+        if schema is None:
+            raise ValueError("no files and no schema")
+        return spark.createDataFrame([], schema)
     r = spark.read.format(spec.format)
     if spec.format == "csv":
-        r = r.option("header", True).option("quote", '"').option("escape", '"')
+        r = r.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
     if schema is not None:
         r = r.schema(schema)
-    return r.load(spec.path)
-
-
-def _existing_values(
-    spark: SparkSession, spec: SinkSpec, column: str, schema: StructType | None
-) -> DataFrame | None:
-    try:
-        return read_back(spark, spec, schema).select(column).distinct()
-    except AnalysisException as exc:  # nothing written yet
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    if paths is None:
+        return r.load(spec.path)
+    jobs = {m[0] if (m := JOB_ID.findall(p)) else p for p in paths}
+    if len(jobs) == 1 and JOB_ID.search(paths[0]):
+        # One write job's files share an id; Spark prunes the others before any is opened.
+        return r.load(spec.path).where(F.col("_metadata.file_name").contains(jobs.pop()))
+    return r.option("basePath", spec.path).load(paths)
 
 
 def write_by_date(
@@ -103,36 +127,49 @@ def write_by_date(
     spec: SinkSpec,
     date_column: str = "process_date",
     schema: StructType | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Write ``df`` into ``spec.path/<date_column>=<value>`` directories in one job.
 
     overwrite -> only the dates present in ``df`` are replaced (dynamic
     partition overwrite); append -> added; ignore -> dates already present
-    are skipped; error -> ``SinkExistsError`` if any date is present.
-    Returns ``(date_column, path, rows)`` for every date directory now under
-    the sink, counted from the files themselves; no value passes through the
-    driver.  The sink is read with ``schema``, by default the frame's own, so
-    date values keep their type and an empty sink needs no inference.
+    are skipped; error -> ``SinkExistsError`` if any date is present, found
+    while the one write job runs, which then commits nothing.  Dates already
+    there are taken from the sink's folder names; no old file is opened.
+
+    Returns ``(date_column, path, rows)`` of this call's dates, counted from the
+    files this call wrote.  They are read with ``schema``, by default the
+    frame's own, so date values keep their type.
     """
     if date_column not in df.columns:
         raise ValueError(f"date column {date_column!r} not in frame")
     schema = schema if schema is not None else df.schema
     spark = df.sparkSession
-    mode = spec.mode
+    mode, out = spec.mode, df
     if mode in ("ignore", "error", "errorifexists"):
-        existing = _existing_values(spark, spec, date_column, schema)
-        if existing is not None:
-            hit = df[date_column].eqNullSafe(existing[date_column])
+        present = partition_values(spark, spec.path, date_column)
+        if present:
+            kind = df.schema[date_column].dataType
+            known = spark.createDataFrame([(v,) for v in present], "_present string").select(
+                F.col("_present").cast(kind), F.lit(True).alias("_there")
+            )
+            hit = df[date_column].eqNullSafe(known["_present"])
             if mode == "ignore":
-                df = df.join(existing, hit, "left_anti")
-            elif df.select(date_column).join(existing, hit, "left_semi").limit(1).count():
-                raise SinkExistsError(f"dates already written under {spec.path}")
+                out = df.join(known, hit, "left_anti")
+            else:
+                stop = F.when(F.col("_there"), F.raise_error(F.lit(EXISTS).cast("string")).cast(kind)).otherwise(df[date_column])
+                out = df.join(known, hit, "left").select(*[(stop if c == date_column else df[c]).alias(c) for c in df.columns])
         mode = "append"
-    writer = _writer(df, dataclasses.replace(spec, mode=mode), date_column)
+    writer = _writer(out, dataclasses.replace(spec, mode=mode), date_column)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.format(spec.format).save(spec.path)
-    return rows_per_directory(spark, spec, date_column, schema)
+    try:
+        added = written_by(lambda: writer.format(spec.format).save(spec.path), spark, spec)
+    except PySparkException as exc:
+        if EXISTS in str(exc):
+            raise SinkExistsError(f"dates already written under {spec.path}") from exc
+        raise
+    return rows_per_directory(spark, spec, date_column, schema, added, multiline)
 
 
 def rows_per_directory(
@@ -140,9 +177,14 @@ def rows_per_directory(
     spec: SinkSpec,
     column: str,
     schema: StructType | None = None,
+    paths: list[str] | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """``(column, path, rows)`` for every partition directory under the sink."""
-    data = read_back(spark, spec, schema)
+    """``(column, path, rows)`` for the directories of ``paths``, or of the whole sink."""
+    if paths is not None and not paths:
+        kind = (schema[column].dataType if schema is not None else "string")
+        return spark.createDataFrame([], StructType([StructField(column, kind), StructField("path", StringType()), StructField("rows", LongType())]))
+    data = read_back(spark, spec, schema, paths, multiline)
     directory = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
     return data.groupBy(F.col(column), directory.alias("path")).agg(
         F.count(F.lit(1)).alias("rows")

@@ -26,8 +26,13 @@ def read_csv(
     delimiter: str = ",",
     multiline: bool = True,
     check_header: bool = False,
+    timestamp_format: str | None = None,
 ) -> DataFrame:
-    """Scan CSV with an explicit schema, or infer one (an extra pass) when None."""
+    """Scan CSV with an explicit schema, or infer one (an extra pass) when None.
+
+    Without ``timestamp_format`` inference also takes short texts such as
+    ``T1`` for times of the current day.
+    """
     reader = (
         spark.read.format("csv")
         .option("header", header)
@@ -36,6 +41,8 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", multiline)
     )
+    if timestamp_format:
+        reader = reader.option("timestampFormat", timestamp_format)
     if schema is not None:
         reader = reader.schema(schema)
         if check_header and header:

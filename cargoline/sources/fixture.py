@@ -16,18 +16,19 @@ generator in the same stage instead of a second scan-and-join.
 from __future__ import annotations
 
 import hashlib
+import inspect
 import os
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoline.schema import DELIVERY_SCHEMA, RAW_COLUMNS, RAW_DECIMAL
 from cargoline.session import shared_root
+from cargoline.storage import files
 
-# Bump when the derivation below changes, so landed copies are rebuilt.
-DERIVATION_VERSION = "2"
 SOURCE_TABLES = ("lineitem", "orders", "customer")
 
 
@@ -104,14 +105,20 @@ def derive_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*RAW_COLUMNS)
 
 
-def _fingerprint(sf_dir: str) -> str:
-    parts = [sf_dir.rstrip("/"), DERIVATION_VERSION]
-    for name in SOURCE_TABLES:
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        if os.path.exists(path):  # local inputs: also key on size and time
-            st = os.stat(path)
-            parts += [str(st.st_size), str(int(st.st_mtime))]
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str | None:
+    """Digest of the inputs' files (path, length, time) and of the derivation's code.
+
+    Listed through the path's own file system, so it holds for any URI and for
+    nested folders.  None if the inputs cannot be listed: then no copy is reused.
+    """
+    try:
+        listed = [files(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") for name in SOURCE_TABLES]
+        code = inspect.getsource(derive_deliveries) + inspect.getsource(_case)
+    except (Py4JError, OSError):
+        return None
+    if not all(listed):
+        return None
+    return hashlib.sha256(repr((sf_dir.rstrip("/"), code, listed)).encode()).hexdigest()
 
 
 _LANDED: dict[tuple[str, str], str] = {}
@@ -157,15 +164,17 @@ def land_deliveries(spark: SparkSession, sf_dir: str, fresh: bool = False) -> st
     extra shuffle), so Parquet page indexes and row-group statistics let the
     pushed-down text range of the date filter skip data outside a run's dates.
     """
-    base = f"{shared_root(spark)}/cargoline/landed/deliveries-{_fingerprint(sf_dir)}"
-    if not fresh:
+    key = _fingerprint(spark, sf_dir)
+    base = f"{shared_root(spark)}/cargoline/landed/deliveries-{key or 'unlisted'}"
+    if key and not fresh:
         ready = _landed_copy(spark, base)
         if ready:
             return ready
     path = f"{base}-{uuid.uuid4().hex}"
     derive_deliveries(spark, sf_dir).sortWithinPartitions("fecha_proceso").write.parquet(path)
     spark.createDataFrame([(path,)], "value string").coalesce(1).write.text(f"{path}.ready")
-    _LANDED[(_app(spark), base)] = path
+    if key:
+        _LANDED[(_app(spark), base)] = path
     return path
 
 

@@ -28,8 +28,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 40
+    own = {q for q in E.queries() if q not in E.LLM_QUERIES}
+    assert own == set(E.oracle_sql()) - set(E.LLM_ORACLES)
+    assert len(own) >= 50
 
 
 def _norm(cols, rows):
@@ -38,7 +39,7 @@ def _norm(cols, rows):
                    for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_query_equals_oracle(spark, duck, name, capsys):
     df = E.queries()[name](spark, SF_SMALL)
     capsys.readouterr()
@@ -46,12 +47,6 @@ def test_query_equals_oracle(spark, duck, name, capsys):
     plan = capsys.readouterr().out
     assert "EvalPython" not in plan, "no Python in the query plan"
     sql = E.oracle_sql()[name]
-    if name == "csv_scan_inferred" and df.schema["transporte"].dataType.typeName() == "timestamp":
-        # At this scale every transport id is T1..T10, which Spark's schema
-        # inference reads as a time of the current day (see test_sources);
-        # the other columns must still match.
-        df = df.drop("transporte")
-        sql = f"SELECT * EXCLUDE (transporte) FROM ({sql})"
     cur = duck.execute(sql)
     d_cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(d_cols)

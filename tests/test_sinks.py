@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cargoline.plans.transform import transform
@@ -49,8 +50,9 @@ def test_modes(spark, output, tmp_path):
     assert read_back(spark, SinkSpec(path)).count() == 2
     write(output, SinkSpec(path, mode="ignore"))
     assert read_back(spark, SinkSpec(path)).count() == 2
-    with pytest.raises(Exception):
+    with pytest.raises(AnalysisException) as caught:
         write(output, SinkSpec(path, mode="error"))
+    assert caught.value.getCondition() == "PATH_ALREADY_EXISTS"
 
 
 def test_unsupported_format_raises_before_any_job():
@@ -69,7 +71,8 @@ def test_write_by_date_dynamic_overwrite(spark, output, tmp_path):
     # a second run with one date replaces only that date
     again = output.filter("process_date = '20250115'").limit(1)
     got = {r.process_date: r.rows for r in write_by_date(again, spec, schema=OUTPUT_SCHEMA).collect()}
-    assert got == {"20250115": 1, "20250220": 1, "20250315": 1, "20250325": 1}
+    assert got == {"20250115": 1}
+    assert read_back(spark, spec, OUTPUT_SCHEMA).count() == 4
 
 
 def test_write_by_date_ignore_and_error(spark, output, sample, tmp_path):
