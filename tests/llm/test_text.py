@@ -1,0 +1,171 @@
+"""Decontamination, packing, quality rules, classifier and language model."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cargoline.llm import classifier, decontaminate, mixing, packing, perplexity
+from tests.llm.conftest import prose
+
+AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def bench_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(AZ))
+
+
+def test_contamination_equals_brute_force(spark, docs, rows, none):
+    items = [(1, prose(999, 30).upper()), (2, "Two words"), (3, None), (4, ""), (20, prose(999, 30)), (5, "absent-word here"), (6, "été, Ñandú")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    windows = {}
+    for i, t in items:
+        w = bench_words(t)
+        for a in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[a : a + 13]), set()).add(str(i))
+    want = Counter()
+    for r in rows:
+        w, hit, found = bench_words(r[1]), set(), set()
+        for n in {len(k) for k in windows}:
+            for a in range(len(w) - n + 1):
+                if (k := tuple(w[a : a + n])) in windows:
+                    hit |= set(range(a, a + n))
+                    found |= windows[k]
+        want[r[0], len(w), len(hit), tuple(sorted(found)), len(hit) > 0 and 20 * len(hit) >= len(w)] += 1
+    got = decontaminate.contamination(docs, bench)
+    assert Counter((r.doc.doc_id, r.n_words, r.n_hit, tuple(r.item_ids), r.contaminated) for r in got.collect()) == want
+    assert decontaminate.contamination(none, bench).count() == 0
+    assert decontaminate.contamination(docs, bench.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.keep_clean(docs, bench).columns == docs.columns
+
+
+def test_proximity_matches_allow_moved_words(spark):
+    docs = spark.createDataFrame([(1, "alpha x y omega"), (2, "alpha omega"), (3, "omega alpha")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha omega")], "item_id long, text string")
+    _, found = decontaminate.matches(docs, items, slop=2)
+    assert {(r.doc, r.exact) for r in found.collect()} == {(1, False), (2, True), (3, False)}
+
+
+def test_packing_is_an_exact_round_trip(docs, rows, none):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter(np.array(t.encode(r[1] or "", add_special_tokens=False).ids + [1], "<u4").tobytes() for r in rows)
+    pieces = packing.pack(docs).collect()
+    got, at = Counter(), {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == at.get(p.sequence_id, 0) and len(p.ids) == 4 * p.length
+        at[p.sequence_id] = p.offset + p.length
+        if p.start == 0:
+            whole = b""
+        assert len(whole) == 4 * p.start
+        whole += p.ids
+        if len(whole) == 4 * p.doc_tokens:
+            got[whole] += 1
+    assert got == want and max(at.values()) <= 2048
+    assert packing.pack(none).count() == 0
+
+
+def test_best_cuts_are_optimal():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        cuts = [(int(p), int(rng.integers(0, 30))) for p in np.cumsum(rng.integers(1, 12, 25))]
+        parent, cost, _ = packing.best_cuts(cuts, 0, 32)
+        place = [0, *[c[0] for c in cuts]]
+        best = [0.0] + [math.inf] * len(cuts)
+        for j in range(1, len(place)):
+            for i in range(j):
+                n = place[j] - place[i]
+                if n <= 32:
+                    pad = 0 if n in (32, 16, 8, 4) else 32 - n
+                    best[j] = min(best[j], best[i] + pad + cuts[j - 1][1] + packing.WINDOW_COST)
+        assert cost == best
+
+
+def test_base_statistics_equal_plain_counts(docs, rows, none):
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    want = Counter()
+    for r in rows:
+        text = r[1] or ""
+        w = word.findall(text)
+        c = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        again = {j for i in range(len(w) - 4) if c[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+        lines = [x for x in text.split("\n") if word.search(x)]
+        want[r[0], len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(again),
+             len(w) < 10 or 100 * len(again) > 20 * len(w)] += 1
+    found = perplexity.quality(docs, ["doc_id"]).collect()
+    assert Counter((r.doc.doc_id, *[r[c] for c in perplexity.STATS[:5]], r.base_failed) for r in found) == want
+    assert not any(r.kept and r.base_failed for r in found)
+    assert perplexity.quality(none).count() == 0
+    assert perplexity.keep_good(docs).columns == docs.columns
+
+
+def test_kneser_ney_sums_to_one_over_next_symbols(spark):
+    docs = spark.createDataFrame([(i, prose(i, 400), "en") for i in range(6)], "doc_id long, text string, lang string")
+    model = perplexity.train(docs)
+    lang, symbols = perplexity.lang_code("en"), [perplexity.END, *[ord(c) + perplexity.FIRST for c in "aeioubdgklmnprst."]]
+    total = 0.0
+    letters = "aeioubdgklmnprst."
+    for nxt in letters:
+        value, _ = perplexity.log_probabilities([("ba" + nxt).encode(), b"ba"], lang, model)
+        grams, heads = perplexity.word_grams([("ba" + nxt).encode()], lang)
+        assert len(grams) == 4 and heads.tolist() == [0]
+        prefix = probability_of(perplexity, b"ba" + nxt.encode(), lang, model, 3)
+        total += prefix
+    total += probability_of(perplexity, b"ba", lang, model, 3)
+    assert total == pytest.approx(1.0, abs=0.02) and len(symbols) == 18
+
+
+def probability_of(p, word, lang, model, symbols):
+    """Probability of the symbol at place ``symbols`` given those before it."""
+    gram, _ = p.word_grams([word], lang)
+    value = np.full(len(gram), -p.SYMBOL_BITS * np.log(2))
+    for order in range(1, p.ORDER + 1):
+        g = p.suffix(gram, order)
+        seen, q = p._probe(model, order, g)
+        body = (g & ((1 << p.LANG_SHIFT) - 1)) >> p.SYMBOL_BITS | (g >> p.LANG_SHIFT << p.LANG_SHIFT)
+        rest, back = p._probe(model, -order, body)
+        value = np.where(seen, q, value + np.where(rest, back, 0.0))
+    return float(np.exp(value[symbols - 1]))
+
+
+def test_classifier_learns_and_leaves_the_held_out_fold(spark, none):
+    good = [(i, prose(i, 150), 1) for i in range(120)]
+    bad = [(1000 + i, prose(i, 150).upper().replace(" ", "!! "), 0) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in good + bad] + [(5000, None), (5001, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in good + bad], "doc_id long, quality int")
+    found = {r.doc_id: r for r in classifier.classify(docs, labels).collect()}
+    assert len(found) == 182 and all(0 <= r.score <= 1 for r in found.values())
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in found.items())
+    truth = {i: q for i, _, q in good + bad}
+    held = [i for i in truth if found[i].held_out]
+    assert all((found[i].score >= 0.7) == (truth[i] == 1) for i in held)
+    assert classifier.classify(none, labels).count() == 0
+    assert classifier.classify(docs, labels.limit(0)).count() == 182
+
+
+def test_language_model_base_and_mixture(docs, rows, none):
+    tokens = [(r[1] or "").encode().lower().split() + [b""] for r in rows]
+    held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 == 2 for r in rows]
+    c = Counter(w for t, h in zip(tokens, held) if not h for w in t)
+    n, v = sum(c.values()), len(c)
+    want = sorted((r[0] or 0, h, len(t), sum(c[w] > 0 for w in t), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), 6))
+                  for r, t, h in zip(rows, tokens, held))
+    found = mixing.score(docs).collect()
+    assert sorted((r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found) == want
+    assert all(r.score < 0 for r in found)
+    assert sum(r.score for r in found) > sum(r.base_score for r in found)
+    assert mixing.score(none).count() == 0
+
+
+def test_coded_tokens_are_a_distribution():
+    code = mixing.huffman([b"a", b"b", b"", b"c"], [50, 20, 10, 5], 7)
+    total = 0.0
+    for token in range(5):
+        node, bit, *_ = mixing.decisions(np.array([token]), np.array([0]), code)
+        total += math.exp(sum(math.log(code.prior[k] if b else 1 - code.prior[k]) for k, b in zip(node, bit)))
+    assert total == pytest.approx(1, abs=1e-5)
