@@ -15,16 +15,16 @@ from tests.conftest import one, rows
 
 def test_box_to_units(sample_clean):
     out = convert_units(sample_clean)
-    cs = one(out, material="MAT002")
-    assert cs.quantity_standardized == D("100.000000")
+    cs = one(out, material="CRATE2")
+    assert cs.quantity_standardized == D("60.000000")
     assert cs.unit_standardized == "ST"
-    st = one(out, material="MAT001")
-    assert st.quantity_standardized == D("10.000000")
+    st = one(out, material="BOLT7")
+    assert st.quantity_standardized == D("4.000000")
     assert out.schema["quantity_standardized"].dataType.simpleString() == "decimal(38,6)"
 
 
 def test_custom_factor(sample_clean):
-    assert one(convert_units(sample_clean, factor=10), material="MAT002").quantity_standardized == D(50)
+    assert one(convert_units(sample_clean, factor=10), material="CRATE2").quantity_standardized == D(30)
 
 
 def test_unit_case_and_unknown(spark):
@@ -39,8 +39,8 @@ def test_unit_case_and_unknown(spark):
 
 def test_classification(sample_clean):
     out = classify_deliveries(sample_clean)
-    for m, routine, bonus in [("MAT001", True, False), ("MAT002", True, False),
-                              ("MAT003", False, True), ("MAT004", False, True)]:
+    for m, routine, bonus in [("BOLT7", True, False), ("CRATE2", True, False),
+                              ("PUMP9", False, True), ("HOSE4", False, True)]:
         r = one(out, material=m)
         assert (r.is_routine_delivery, r.is_bonus_delivery) == (routine, bonus)
 
@@ -53,9 +53,9 @@ def test_classification_null_is_false(spark):
 
 def test_calculated_values(sample_clean):
     out = add_calculated_columns(convert_units(sample_clean))
-    r = one(out, material="MAT001")
-    assert r.total_value == D("1005.000000")
-    assert r.unit_price == D("10.050000")
+    r = one(out, material="BOLT7")
+    assert r.total_value == D("50.400000")
+    assert r.unit_price == D("3.150000")
     assert r.processing_timestamp is not None
     assert {x.data_quality_flag for x in out.collect()} == {"VALID"}
 

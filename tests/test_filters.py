@@ -8,11 +8,11 @@ from decimal import Decimal as D
 
 
 def test_date_range(sample_clean):
-    assert filter_date_range(sample_clean, "2025-01-01", "2025-01-31").count() == 2
+    assert filter_date_range(sample_clean, "2025-01-01", "2025-03-31").count() == 2
 
 
 def test_date_bounds_inclusive(sample_clean):
-    assert filter_date_range(sample_clean, "2025-01-15", "2025-03-15").count() == 4
+    assert filter_date_range(sample_clean, "2025-03-07", "2025-05-26").count() == 4
 
 
 def test_date_out_of_range_empty(sample_clean):
@@ -24,7 +24,7 @@ def test_start_after_end_empty(sample_clean):
 
 
 def test_date_objects_accepted(sample_clean):
-    assert filter_date_range(sample_clean, dt.date(2025, 1, 15), dt.date(2025, 1, 15)).count() == 2
+    assert filter_date_range(sample_clean, dt.date(2025, 3, 7), dt.date(2025, 3, 7)).count() == 2
 
 
 def test_bad_bound_raises(sample_clean):
@@ -45,7 +45,7 @@ def test_date_filter_independent_of_session_zone(spark, sample_clean):
     try:
         for tz in ("Asia/Tokyo", "America/Lima", "UTC"):
             spark.conf.set("spark.sql.session.timeZone", tz)
-            assert filter_date_range(sample_clean, "2025-01-15", "2025-03-15").count() == 4
+            assert filter_date_range(sample_clean, "2025-03-07", "2025-05-26").count() == 4
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 

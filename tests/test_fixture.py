@@ -35,3 +35,16 @@ def test_fresh_landing_makes_a_new_copy(spark):
     b = land_deliveries(spark, SF_SMALL, fresh=True)
     assert a != b
     assert spark.read.parquet(b).count() == 7217
+
+
+def test_grown_input_is_landed_anew_for_any_uri(spark, tmp_path):
+    """Over a file:// folder with nested files, appended rows show at once."""
+    uri = f"file://{tmp_path}/in"
+    for name in ("orders", "customer"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{uri}/{name}.parquet")
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    part = F.col("l_orderkey") % 3 == 0
+    lines.where(part).write.partitionBy("l_linestatus").parquet(f"{uri}/lineitem.parquet")
+    before = deliveries(spark, uri).count()
+    lines.where(~part).write.mode("append").partitionBy("l_linestatus").parquet(f"{uri}/lineitem.parquet")
+    assert 0 < before < deliveries(spark, uri).count() == 7217

@@ -41,7 +41,7 @@ def test_date_range_prunes_partitions_on_read_back(spark, sample, tmp_path, caps
     spec = SinkSpec(str(tmp_path / "o"))
     write(transform(sample, "2025-01-01", "2025-12-31"), spec)
     back = spark.read.schema(OUTPUT_SCHEMA).parquet(spec.path)
-    sel = filter_date_range(back, "2025-02-01", "2025-03-20", column="process_date")
+    sel = filter_date_range(back, "2025-04-01", "2025-06-01", column="process_date")
     text = plan_text(sel, capsys)
     assert re.search(r"PartitionFilters: \[.*process_date.*\]", text)
     assert sel.count() == 2

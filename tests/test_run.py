@@ -34,7 +34,7 @@ def test_run_job_writes_reads_back_and_reports(spark, sample, tmp_path):
     assert back.count() == 5
     assert back.filter("processing_timestamp IS NULL").count() == 0
     assert {r.process_date: r.rows for r in result.rows_per_partition().collect()} == {
-        "20250115": 2, "20250220": 1, "20250315": 1, "20250325": 1}
+        "20250307": 2, "20250418": 1, "20250526": 1, "20250830": 1}
     m = result.metrics().first()
     assert (m.rows_written, m.partition_values, m.output_format) == (5, 4, "parquet")
 
@@ -63,7 +63,7 @@ def test_summaries(spark, sample):
     from pyspark.sql import functions as F
 
     df = sample.withColumn("process_date", F.col("fecha_proceso"))
-    assert {r.process_date: r.rows for r in rows_per_partition(df).collect()}["20250115"] == 6
+    assert {r.process_date: r.rows for r in rows_per_partition(df).collect()}["20250307"] == 6
     s = output_summary(df).first()
     assert (s.total_records, s.partition_values) == (10, 5)
     assert output_summary(sample).first().total_records == 10
@@ -112,7 +112,7 @@ output: {{format: "parquet", mode: "overwrite", partition_column: "process_date"
     result = run_from_mapping(spark, cfg)
     assert result.rows_written == 5
     got = {r.material_code: r.quantity_standardized for r in result.written().collect()}
-    assert got["MAT002"] == D(50)
+    assert got["CRATE2"] == D(30)
 
 
 def test_optional_input_profile(spark, sample, tmp_path):
@@ -147,3 +147,32 @@ def test_settings_tree_defaults_and_overrides(tmp_path):
 def test_settings_tree_missing_dates_fail_the_check(tmp_path):
     with pytest.raises(ValueError):
         RunParams.from_mapping({"paths": {"output_base": str(tmp_path)}}).check()
+
+
+def test_reports_cover_this_run_only(spark, sample, tmp_path):
+    first = SinkSpec(str(tmp_path / "o"), mode="append")
+    run_delivery_job(sample, RunParams("2025-01-01", "2025-12-31", output=first))
+    again = run_delivery_job(sample, RunParams("2025-03-01", "2025-03-31", output=first)).summary().first()
+    assert (again.total_records, again.partition_values) == (2, 1)
+    skipped = run_delivery_job(sample, RunParams("2025-01-01", "2025-12-31", output=SinkSpec(first.path, mode="ignore")))
+    assert skipped.rows_written == 0 and skipped.metrics().first().partition_values == 0
+
+
+def test_early_start_date(spark, sample, tmp_path):
+    spec = SinkSpec(str(tmp_path / "e"))
+    assert run_delivery_job(sample, RunParams("0001-01-01", "2025-12-31", output=spec)).rows_written == 6
+
+
+def test_splittable_csv_reads_in_several_partitions(spark, tmp_path):
+    from cargoline.sources.csv import read_deliveries
+
+    path = str(tmp_path / "big")
+    spark.range(40000).selectExpr("'GT' a", "'20250101' b", "'T' c", "'R' d", "'ZPRE' e", "cast(id as string) f", "1 g", "1 h", "'ST' i").coalesce(1).write.option(
+        "header", True).csv(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+        assert read_deliveries(spark, path, multiline=False).rdd.getNumPartitions() > 1
+        assert read_deliveries(spark, path).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

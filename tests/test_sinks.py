@@ -25,15 +25,15 @@ def test_round_trip_values(spark, output, tmp_path, fmt):
     back = read_back(spark, spec, OUTPUT_SCHEMA)
     assert _values(back) == _values(output)
     dirs = sorted(d for d in os.listdir(spec.path) if d.startswith("process_date="))
-    assert dirs == ["process_date=20250115", "process_date=20250220",
-                    "process_date=20250315", "process_date=20250325"]
+    assert dirs == ["process_date=20250307", "process_date=20250418",
+                    "process_date=20250526", "process_date=20250830"]
 
 
 def test_partition_override_and_absent_column(spark, output, tmp_path):
     spec = SinkSpec(str(tmp_path / "a"))
     write(output, spec, partition_by="country_code")
     assert sorted(d for d in os.listdir(spec.path) if "=" in d) == [
-        "country_code=EC", "country_code=GT", "country_code=PE", "country_code=SV"]
+        "country_code=EC", "country_code=GT", "country_code=HN", "country_code=JM"]
     flat = SinkSpec(str(tmp_path / "b"), partition_column="nope")
     write(output, flat)
     assert not any("=" in d for d in os.listdir(flat.path))
@@ -45,7 +45,7 @@ def test_modes(spark, output, tmp_path):
     write(output, SinkSpec(path, mode="append"))
     write(output, SinkSpec(path, mode="append"))
     assert read_back(spark, SinkSpec(path)).count() == 10
-    write(output.filter("process_date = '20250115'"), SinkSpec(path, mode="overwrite"))
+    write(output.filter("process_date = '20250307'"), SinkSpec(path, mode="overwrite"))
     # static overwrite: partitions not in this run are gone
     assert read_back(spark, SinkSpec(path)).count() == 2
     write(output, SinkSpec(path, mode="ignore"))
@@ -66,21 +66,21 @@ def test_write_by_date_dynamic_overwrite(spark, output, tmp_path):
     spec = SinkSpec(str(tmp_path / "d"))
     first = write_by_date(output, spec, schema=OUTPUT_SCHEMA)
     assert {r.process_date: r.rows for r in first.collect()} == {
-        "20250115": 2, "20250220": 1, "20250315": 1, "20250325": 1}
+        "20250307": 2, "20250418": 1, "20250526": 1, "20250830": 1}
     assert all(r.path.endswith(f"process_date={r.process_date}") for r in first.collect())
     # a second run with one date replaces only that date
-    again = output.filter("process_date = '20250115'").limit(1)
+    again = output.filter("process_date = '20250307'").limit(1)
     got = {r.process_date: r.rows for r in write_by_date(again, spec, schema=OUTPUT_SCHEMA).collect()}
-    assert got == {"20250115": 1}
+    assert got == {"20250307": 1}
     assert read_back(spark, spec, OUTPUT_SCHEMA).count() == 4
 
 
 def test_write_by_date_ignore_and_error(spark, output, sample, tmp_path):
     spec = SinkSpec(str(tmp_path / "e"))
-    write_by_date(output.filter("process_date <> '20250325'"), spec, schema=OUTPUT_SCHEMA)
+    write_by_date(output.filter("process_date <> '20250830'"), spec, schema=OUTPUT_SCHEMA)
     ign = SinkSpec(spec.path, mode="ignore")
     got = {r.process_date: r.rows for r in write_by_date(output, ign, schema=OUTPUT_SCHEMA).collect()}
-    assert got == {"20250115": 2, "20250220": 1, "20250315": 1, "20250325": 1}
+    assert got == {"20250830": 1}
     with pytest.raises(SinkExistsError):
         write_by_date(output, SinkSpec(spec.path, mode="error"), schema=OUTPUT_SCHEMA)
     fresh = SinkSpec(str(tmp_path / "f"), mode="error")
@@ -89,7 +89,7 @@ def test_write_by_date_ignore_and_error(spark, output, sample, tmp_path):
 
 def test_write_by_date_null_date_goes_to_default_partition(spark, output, tmp_path):
     spec = SinkSpec(str(tmp_path / "n"))
-    df = output.withColumn("process_date", F.when(F.col("material_code") == "MAT007", None)
+    df = output.withColumn("process_date", F.when(F.col("material_code") == "FREE5", None)
                            .otherwise(F.col("process_date")))
     got = {r.process_date: r.path for r in write_by_date(df, spec, schema=OUTPUT_SCHEMA).collect()}
     assert got[None].endswith("__HIVE_DEFAULT_PARTITION__")
@@ -152,7 +152,7 @@ def test_sink_defaults_and_custom_values(tmp_path):
 def test_write_by_date_text_formats(spark, output, tmp_path, fmt):
     spec = SinkSpec(str(tmp_path / fmt), format=fmt)
     got = {r.process_date: r.rows for r in write_by_date(output, spec, schema=OUTPUT_SCHEMA).collect()}
-    assert got == {"20250115": 2, "20250220": 1, "20250315": 1, "20250325": 1}
+    assert got == {"20250307": 2, "20250418": 1, "20250526": 1, "20250830": 1}
     back = read_back(spark, spec, OUTPUT_SCHEMA)
     assert _values(back) == _values(output)
 
@@ -163,3 +163,11 @@ def test_write_by_date_empty_frame_and_default_schema(spark, tmp_path):
     df = spark.createDataFrame([("20250101", 1), ("20250102", 2)], "process_date string, x int")
     got = write_by_date(df, SinkSpec(str(tmp_path / "d"))).collect()
     assert sorted((r.process_date, r.rows) for r in got) == [("20250101", 1), ("20250102", 1)]
+
+
+def test_csv_read_back_keeps_line_breaks_and_counts(spark, tmp_path):
+    df = spark.createDataFrame([("20250101", "A\nB"), ("20250101", "c"), ("20250102", "d")], "process_date string, x string")
+    spec = SinkSpec(str(tmp_path / "c"), format="csv")
+    got = {r.process_date: r.rows for r in write_by_date(df, spec).collect()}
+    assert got == {"20250101": 2, "20250102": 1}
+    assert {r.x for r in read_back(spark, spec, "x string, process_date string").collect()} == {"A\nB", "c", "d"}

@@ -18,15 +18,15 @@ def _file(tmp_path, text, name="in.csv"):
 
 def test_typed_scan_edge_cases(spark, tmp_path):
     body = (
-        'GT,20250115,T1,R1,ZPRE,,1.5,2,ST\n'            # empty field -> NULL
-        'GT,20250115,T1,R1,ZPRE,"",1.5,2,ST\n'          # quoted empty -> NULL
-        'GT,20250115,T1,R1,ZPRE,"""""",1.5,2,ST\n'      # -> the text ""
-        'GT,20250115,T1,R1,ZPRE, x ,1.5,2,ST\n'         # spaces kept
-        'GT,20250115,T1,R1,ZPRE,"a\nb",1.5,2,ST\n'      # embedded newline kept
-        'GT,20250115,T1,R1,ZPRE,m,abc,2,ST\n'           # bad decimal -> NULL, row kept
-        'GT,20250115,T1,R1,ZPRE,m2,1.5,2,ST,extra\n'    # extra field dropped
-        'GT,20250115,T1,R1,ZPRE,m3\n'                   # short row padded
-        'GT,20250115,T1,R1,ZPRE,m4,0E-18,1E-7,ST\n'     # exponent forms parse
+        'GT,20250307,T1,R1,ZPRE,,1.5,2,ST\n'            # empty field -> NULL
+        'GT,20250307,T1,R1,ZPRE,"",1.5,2,ST\n'          # quoted empty -> NULL
+        'GT,20250307,T1,R1,ZPRE,"""""",1.5,2,ST\n'      # -> the text ""
+        'GT,20250307,T1,R1,ZPRE, x ,1.5,2,ST\n'         # spaces kept
+        'GT,20250307,T1,R1,ZPRE,"a\nb",1.5,2,ST\n'      # embedded newline kept
+        'GT,20250307,T1,R1,ZPRE,m,abc,2,ST\n'           # bad decimal -> NULL, row kept
+        'GT,20250307,T1,R1,ZPRE,m2,1.5,2,ST,extra\n'    # extra field dropped
+        'GT,20250307,T1,R1,ZPRE,m3\n'                   # short row padded
+        'GT,20250307,T1,R1,ZPRE,m4,0E-18,1E-7,ST\n'     # exponent forms parse
     )
     df = read_deliveries(spark, _file(tmp_path, HEADER + body))
     got = [(r.material, r.precio, r.cantidad, r.unidad) for r in df.collect()]
@@ -45,8 +45,8 @@ def test_typed_scan_edge_cases(spark, tmp_path):
 
 def test_binds_by_position_unless_checked(spark, tmp_path):
     swapped = HEADER.replace("pais,fecha_proceso", "fecha_proceso,pais")
-    path = _file(tmp_path, swapped + "20250115,GT,T1,R1,ZPRE,m,1,2,ST\n")
-    assert read_deliveries(spark, path).collect()[0].pais == "20250115"
+    path = _file(tmp_path, swapped + "20250307,GT,T1,R1,ZPRE,m,1,2,ST\n")
+    assert read_deliveries(spark, path).collect()[0].pais == "20250307"
     with pytest.raises((PySparkException, Py4JJavaError)):
         read_deliveries(spark, path, check_header=True).collect()
 
@@ -68,7 +68,7 @@ def test_semicolon_and_no_header(spark, tmp_path):
 
 
 def test_split_reading_when_not_multiline(spark, tmp_path):
-    path = _file(tmp_path, HEADER + "GT,20250115,T1,R1,ZPRE,m,1,2,ST\n" * 50)
+    path = _file(tmp_path, HEADER + "GT,20250307,T1,R1,ZPRE,m,1,2,ST\n" * 50)
     assert read_deliveries(spark, path, multiline=False).count() == 50
     assert read_deliveries(spark, path).schema == DELIVERY_SCHEMA
 

@@ -4,13 +4,14 @@ from cargoline.operators.profile import cleaning_funnel
 from cargoline.plans.transform import DeliveryRules, QualityChecks, transform
 from cargoline.schema import FINAL_COLUMNS
 
-# FIXTURES.md §2: the five expected rows for 2025-01-01..2025-12-31.
+# Worked out by hand: boxes count 20, values are price x standard quantity,
+# unit prices price / quantity as delivered.
 EXPECTED = {
-    ("GT", "20250115", "MAT001", "ZPRE", True, False, D("10"), D("10.05"), D("1005"), "VALID"),
-    ("GT", "20250115", "MAT002", "ZVE1", True, False, D("100"), D("40"), D("20000"), "VALID"),
-    ("PE", "20250220", "MAT003", "Z04", False, True, D("20"), D("2.5"), D("1000"), "VALID"),
-    ("EC", "20250315", "MAT004", "Z05", False, True, D("40"), D("37.625"), D("3010"), "VALID"),
-    ("SV", "20250325", "MAT007", "ZPRE", True, False, D("5"), D("0"), D("0"), "REVIEW"),
+    ("GT", "20250307", "BOLT7", "ZPRE", True, False, D("4"), D("3.15"), D("50.40"), "VALID"),
+    ("GT", "20250307", "CRATE2", "ZVE1", True, False, D("60"), D("12"), D("2160"), "VALID"),
+    ("HN", "20250418", "PUMP9", "Z04", False, True, D("6"), D("1.25"), D("45"), "VALID"),
+    ("JM", "20250526", "HOSE4", "Z05", False, True, D("260"), D("6.25"), D("21125"), "VALID"),
+    ("EC", "20250830", "FREE5", "ZPRE", True, False, D("9"), D("0"), D("0"), "REVIEW"),
 }
 
 
