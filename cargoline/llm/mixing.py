@@ -141,7 +141,9 @@ def mix(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, docs: np.ndarray, firs
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
     w = np.tile(first.astype(np.float32), (len(starts), 1, 1)).reshape(-1, INPUTS)
-    visits = np.zeros((len(starts), GATES), np.int32).reshape(-1)
+    lane = np.empty(len(starts), np.int64)
+    lane[order] = np.arange(len(starts))
+    visits = np.bincount(np.repeat(lane, np.diff(np.append(np.sort(starts), n))) * GATES + gate, minlength=len(starts) * GATES)
     out = np.empty(n, np.float32)
     lanes = np.arange(len(starts)) * GATES
     active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right")
@@ -153,9 +155,9 @@ def mix(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, docs: np.ndarray, firs
         ws = w[rows]
         p = 1 / (1 + np.exp(-np.einsum("ij,ij->i", ws, xs)))
         p = np.clip(p, 1e-6, 1 - 1e-6)
-        out[at] = np.log(np.where(b, p, 1 - p))
+        out[at] = p
         w[rows] = ws + ((b - p) * np.float32(RATE))[:, None] * xs
-        visits[rows] += 1
+    out = np.log(np.where(bit, out, 1 - out))
     return out, w.reshape(-1, GATES, INPUTS), visits.reshape(-1, GATES)
 
 
