@@ -18,8 +18,10 @@ no shuffle, and a lost task only repeats its own partition.
 from __future__ import annotations
 
 import re
+import struct
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,16 +32,19 @@ from cargoline.llm.common import table, text_key
 
 WINDOW, END_ID = 2048, 1
 SENTENCE_PENALTY, GRID_PENALTY, GRID, WINDOW_COST = 8, 40, 64, 32
-FLUSH_WINDOWS, MOST_WINDOWS = 64, 1024
+FLUSH_WINDOWS, MOST_WINDOWS = 256, 1024
+WORDS_HELD = 1 << 19
+MARKED_WORD = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-z]+)([!-&(-/:-@\[-`{-~]*)")  # ASCII letters between marks, no apostrophe
 SENTENCE_END = re.compile(r"[.!?]+(?=\s)|\n")
 PIECES = "doc_id long, tkey long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 class WordIds(dict):
-    """Little-endian 32-bit ids of a word's tokens; at most 2^18 words are remembered.
+    """Little-endian 32-bit ids of a word's tokens; at most ``WORDS_HELD`` words are remembered.
 
     White space separates tokens in this vocabulary, so a text's ids are its
-    words' ids in order.
+    words' ids in order.  Case is folded, and letters are separated from marks, so
+    an ASCII word shares the work of its letters with its other spellings.
     """
 
     def __init__(self, path: str | None):
@@ -51,13 +56,27 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = True
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= 1 << 18:
+        if len(self) >= WORDS_HELD:
             self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = value = b"".join(i.to_bytes(4, "little") for i in ids)
+        value = None
+        if word.isascii():
+            low = word.lower()
+            m = MARKED_WORD.fullmatch(low)
+            if m and m[2] != word:
+                value = b"".join([self[part] for part in m.groups() if part])
+        if value is None:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            value = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = value
         return value
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str | None) -> WordIds:
+    """Kept by the Python worker for its later tasks."""
+    return WordIds(path)
+
+
 def sentences(text: str) -> Iterator[str]:
     at = 0
     for m in SENTENCE_END.finditer(text):
@@ -149,7 +168,6 @@ class Packer:
                     self.limit *= 2
                     return
                 end = min(range(first, len(parent)), key=cost.__getitem__)
-        self.limit = FLUSH_WINDOWS * self.window
         path = []
         while end > 0:
             path.append(end)
@@ -187,7 +205,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.binary() if c == "ids" else pa.int64()) for c in (x.split()[0] for x in PIECES.split(", "))])
-        words, packer = WordIds(tokenizer_file), Packer(TaskContext.get().partitionId(), window)
+        words, packer = word_ids(tokenizer_file), Packer(TaskContext.get().partitionId(), window)
         rows: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
