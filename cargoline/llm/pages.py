@@ -2,28 +2,33 @@
 
 A page's markup becomes lines, one per block.  Pages are sorted by host and URL
 path over range partitions (a host may fill many of them); a page is paired with
-the one before and the one after it on its host, the lines are aligned by a
-longest common subsequence, and shared lines are deleted as template.
+the ``REACH`` nearest pages of other content before and after it on its host
+(pages of equal lines are folded), the lines are aligned by a longest common
+subsequence, and shared lines are deleted as template.  Pages whose neighbours
+may lie in another partition go, with the pages next to them, through a small
+second pass by host, so texts do not depend on the partitions.
 
 What the markup says outright is kept to: scripts, styles, forms, menus, headers,
 footers, sidebars, notices, adverts and reader comments never count as text,
 and lines inside an article are not deleted because a copy of the page stands next
 to it.  The differencing decides about all other lines.  A neighbour that shares
-most of a page's undecided text is a copy, not a template, and deletes nothing.
-A page at the edge of a partition has its neighbour on one side only.
+most of the text of the longer of both pages may be a near copy: alone it deletes
+nothing, but what ``SEVERAL`` different pages share is template.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import table
+from cargoline.llm.common import land, table
 
 # --- fixed values: HTML element names and usual class names ---
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +50,7 @@ OWN_END = {"li": {"ul", "ol", "menu"}, "p": set(), "dt": {"dl"}, "dd": {"dl"}, "
 
 ARTICLE, OPEN, DROPPED = 2, 1, 0  # what the markup says about a line
 SAME_SHARE = 0.6
+REACH, SEVERAL = 3, 3  # neighbours on each side; so many pages of other content make a template
 TAIL = re.compile(r"<[A-Za-z/!?][^<>]*$")  # a tag cut off by the page's end
 SPACE = re.compile(r"\s+")
 TOKENS = re.compile(r"[a-z]+")
@@ -162,19 +168,77 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def main_text(page: list[tuple[str, int]], neighbours: list[list[str]]) -> str:
-    """The page's lines less those shared with a neighbour outside its article."""
+def main_text(page: list[tuple[str, int]], neighbours: list[list[tuple[str, int]]]) -> str:
+    """The page's lines less those shared with neighbours outside its article."""
     texts = [t for t, _ in page]
-    undecided = sum(len(t) for t, kind in page if kind == OPEN)
-    deleted: set[int] = set()
-    for other in neighbours:
-        shared = {i for i in common_lines(texts, other) if page[i][1] == OPEN}
-        if sum(len(texts[i]) for i in shared) <= SAME_SHARE * undecided:
-            deleted |= shared
+    own, length = set(texts), sum(map(len, texts))
+    by_page, by_copy = [0] * len(page), [0] * len(page)  # neighbours that share each line
+    for near in neighbours:
+        other = [t for t, _ in near]
+        if own.isdisjoint(other):
+            continue
+        shared = common_lines(texts, other)
+        copy = sum(len(texts[i]) for i in shared) > SAME_SHARE * max(length, sum(map(len, other)))
+        for i in shared:
+            (by_copy if copy else by_page)[i] += 1
+    deleted = {i for i, (_, kind) in enumerate(page) if kind == OPEN and (by_page[i] or by_copy[i] >= SEVERAL)}
     article = any(kind == ARTICLE for _, kind in page)
     return "\n".join(t for i, (t, kind) in enumerate(page) if (kind == ARTICLE if article else i not in deleted))
 
 
+class Page:
+    """A page's content, the rows that have it, and its nearest pages of other content by digest."""
+
+    def __init__(self, seq: int, lines: list[tuple[str, int]], digest: bytes, members: list[tuple], before: dict[bytes, Page]):
+        self.seq, self.lines, self.digest, self.members = seq, lines, digest, members
+        self.before, self.after = before, {}
+
+    def text(self) -> str:
+        """Asked once: the neighbours are let go, or each page would hold all before it."""
+        near = [p.lines for p in self.take().values()]
+        return main_text(self.lines, near)
+
+    def take(self) -> dict[bytes, Page]:
+        near = {**self.before, **self.after}
+        self.before, self.after = {}, {}
+        return near
+
+
+class Host:
+    """The pages of one host in URL order; what it gives out has found its neighbours, as far as there are any."""
+
+    def __init__(self):
+        self.recent: dict[bytes, Page] = {}  # the last contents, latest last
+        self.first: dict[bytes, Page] = {}
+        self.pending: dict[bytes, Page] = {}  # without all neighbours behind it: at most REACH + 1
+
+    def add(self, seq: int, lines: list[tuple[str, int]], digest: bytes, members: list[tuple]) -> list[Page]:
+        others = [d for d in self.recent if d != digest]
+        now = Page(seq, lines, digest, members, {d: self.recent[d] for d in others[-REACH:]})
+        for p in self.pending.values():
+            if p.digest != digest and len(p.after) < REACH:
+                p.after.setdefault(digest, now)
+        if digest in self.pending:
+            self.pending[digest].members.extend(members)
+            now.before = {}
+        else:
+            self.pending[digest] = now
+        self.recent.pop(digest, None)
+        self.recent[digest] = now
+        if len(self.recent) > REACH + 1:
+            del self.recent[next(iter(self.recent))]
+        if len(self.first) <= REACH:
+            self.first.setdefault(digest, now)
+        done = [p for p in self.pending.values() if len(p.after) == REACH]
+        for p in done:
+            del self.pending[p.digest]
+        return done
+
+
+def digest_of(lines: list[tuple[str, int]]) -> bytes:
+    return hashlib.blake2b("\n".join(f"{kind}{t}" for t, kind in lines).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(page_id, url, text)`` of every row of ``pages``.
 
@@ -188,35 +252,94 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     spread = [F.col("host"), F.col("path"), F.col("url"), F.col("page_id"), F.xxhash64("html")]
     rows = rows.repartitionByRange(*spread).sortWithinPartitions(*spread)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finished(before, now, after) -> str:
-            near = [[t for t, _ in x[1]] for x in (before, after) if x and x[0] == now[0]]
-            return main_text(now[1], near)
-
-        before = now = None
-        waiting: list[tuple] = []  # (id, url, text) not yet given out
+    rows = rows.select("page_id", "url", "html", "host")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    member = f"struct<page_id:{kinds['page_id']},url:{kinds['url']}>"
+    # Rows of finished pages have no part; the others hold the content of an edge page and its members.
+    schema = f"text string, host string, part int, seq long, lines array<string>, kinds array<int>, members array<{member}>"
+
+    def batch(finished: list[tuple], edges: list[tuple], member_type) -> pa.RecordBatch:
+        kind = pa.schema([
+            ("text", pa.string()), ("host", pa.string()), ("part", pa.int32()), ("seq", pa.int64()), ("lines", pa.list_(pa.string())),
+            ("kinds", pa.list_(pa.int32())), ("members", pa.list_(member_type)),
+        ])
+        got = [(text, None, None, None, None, None, members) for text, members in finished] + [(None, *e) for e in edges]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), kind)], schema=kind)
 
-        def batch() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*waiting), schema)], schema=schema)
-            waiting.clear()
-            return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq, name, host, inner, kind = TaskContext.get().partitionId(), 0, None, Host(), False, None
+        out: list[tuple] = []
+        edge: dict[int, Page] = {}  # what the second pass needs of the present host, and whose texts it is to give
+        unsettled: set[int] = set()
+
+        def give(pages: list[Page], ended: bool) -> None:
+            for p in pages:
+                if (inner or len(p.before) == REACH) and (ended or len(p.after) == REACH):
+                    out.append((p.text(), p.members))
+                else:
+                    edge.update({x.seq: x for x in (*p.before.values(), *p.after.values(), p)})
+                    unsettled.add(p.seq)
+                    p.take()
+
+        def close(ended: bool) -> list[tuple]:
+            """The edge rows of the host."""
+            give(list(host.pending.values()), ended)
+            if not inner:
+                edge.update({x.seq: x for x in host.first.values()})
+            if not ended:
+                edge.update({x.seq: x for x in host.recent.values()})
+            rows = [
+                (name, part, p.seq, [t for t, _ in p.lines], [k for _, k in p.lines], p.members if at in unsettled else [])
+                for at, p in edge.items()
+            ]
+            edge.clear(), unsettled.clear()
+            return rows
 
-        schema = None
         for b in batches:
-            schema = schema or pa.schema([("page_id", b["page_id"].type), ("url", b["url"].type), ("text", pa.string())])
-            for page_id, url, html, host in zip(b["page_id"], b["url"], b["html"], b["host"]):
-                after = (host.as_py(), page_lines(html.as_py()), page_id.as_py(), url.as_py())
-                if now:
-                    waiting.append((now[2], now[3], finished(before, now, after)))
-                before, now = now, after
-                if len(waiting) >= 1024:
-                    yield batch()
-        if now:
-            waiting.append((now[2], now[3], finished(before, now, None)))
-            yield batch()
-
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.select("page_id", "url", "html", "host").mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
+            kind = kind or pa.struct([("page_id", b["page_id"].type), ("url", b["url"].type)])
+            for page_id, url, html, at in zip(b["page_id"], b["url"], b["html"], b["host"]):
+                at = at.as_py()
+                if at != name:
+                    if name is not None:
+                        rest = close(True)
+                        if rest:
+                            yield batch([], rest, kind)
+                        inner = True
+                    name, host = at, Host()
+                lines = page_lines(html.as_py())
+                give(host.add(seq, lines, digest_of(lines), [(page_id.as_py(), url.as_py())]), False)
+                seq += 1
+                if len(out) >= 1024:
+                    yield batch(out, [], kind)
+                    out.clear()
+        if name is not None:
+            last = close(False)
+            if out or last:
+                yield batch(out, last, kind)
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, host, kind = None, Host(), None
+        out: list[tuple] = []
+        for b in batches:
+            kind = kind or b["members"].type.value_type
+            for r in b.to_pylist():
+                if r["host"] != name:
+                    out += [(p.text(), p.members) for p in host.pending.values()]
+                    name, host = r["host"], Host()
+                lines = list(zip(r["lines"], r["kinds"]))
+                members = [(m["page_id"], m["url"]) for m in r["members"]]
+                out += [(p.text(), p.members) for p in host.add(r["seq"], lines, digest_of(lines), members)]
+                if len(out) >= 1024:
+                    yield batch(out, [], kind)
+                    out.clear()
+        out += [(p.text(), p.members) for p in host.pending.values()]
+        if out:
+            yield batch(out, [], kind)
+
+    once = land(rows.mapInArrow(run, schema), "pages")
+    edges = once.where(F.col("part").isNotNull()).repartition("host").sortWithinPartitions("host", "part", "seq")
+    texts = once.where(F.col("part").isNull()).unionByName(edges.mapInArrow(rest, schema))
+    return texts.select(F.explode("members").alias("m"), "text").select("m.page_id", "m.url", "text")
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

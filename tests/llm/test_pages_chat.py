@@ -60,6 +60,35 @@ def test_copies_do_not_delete_each_other(spark):
     assert {r.text for r in pages.extract(df).collect()} == {"Site name\nThe same story twice, under two addresses."}
 
 
+def test_template_goes_from_short_pages_and_beside_copies(spark):
+    frame = "<div>Site name</div><div>Legal line, longer than any of the stories</div>"
+    rows = [(i, f"http://h/{i:02}", f"{frame}<div>Story {i // 3}</div>") for i in range(24)]  # runs of three copies
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in pages.extract(df).collect()} == {i: f"Story {i // 3}" for i in range(24)}
+
+
+def test_texts_do_not_depend_on_partitions(spark):
+    import random
+
+    rng, rows = random.Random(5), []
+    for i in range(300):
+        host = rng.choice(["a", "b", "b", "b", "b", None])
+        body = "".join(f"<div>{rng.choice('pqrstuvw') * rng.randrange(1, 12)}</div>" for _ in range(rng.randrange(0, 4)))
+        rows.append((i, host and f"http://{host}/{rng.randrange(400)}", f"<div>{host} site</div>{body}<div>Legal line</div>"))
+    df, seen = spark.createDataFrame(rows, "page_id long, url string, html string"), []
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(s) for s in settings]
+    try:
+        spark.conf.set(settings[1], "false")
+        for n in (1, 7, 40):
+            spark.conf.set(settings[0], n)
+            seen.append({r.page_id: r.text for r in pages.extract(df).collect()})
+    finally:
+        for s, value in zip(settings, before):
+            spark.conf.set(s, value)
+    assert len(seen[0]) == 300 and seen[0] == seen[1] == seen[2]
+
+
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, after string, status string"
 
 
