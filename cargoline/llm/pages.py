@@ -9,11 +9,12 @@ may lie in another partition go, with the pages next to them, through a small
 second pass by host, so texts do not depend on the partitions.
 
 What the markup says outright is kept to: scripts, styles, forms, menus, headers,
-footers, sidebars, notices, adverts and reader comments never count as text,
-and lines inside an article are not deleted because a copy of the page stands next
-to it.  The differencing decides about all other lines.  A neighbour that shares
-most of the text of the longer of both pages may be a near copy: alone it deletes
-nothing, but what ``SEVERAL`` different pages share is template.
+footers, sidebars, notices, adverts and reader comments never count as text.
+The differencing decides about all other lines.  A neighbour that shares most of
+the text of the longer of both pages may be a near copy: alone it deletes nothing,
+but what ``SEVERAL`` different pages share is template.  Article markup is evidence
+for a line: it goes only if all neighbours share it, and ``SEVERAL`` that are no near
+copies (with ``SEVERAL`` alone, passages that stories repeat would go).
 """
 
 from __future__ import annotations
@@ -169,7 +170,7 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
 
 
 def main_text(page: list[tuple[str, int]], neighbours: list[list[tuple[str, int]]]) -> str:
-    """The page's lines less those shared with neighbours outside its article."""
+    """The page's lines less its template: lines shared with a neighbour, inside an article with all and ``SEVERAL``."""
     texts = [t for t, _ in page]
     own, length = set(texts), sum(map(len, texts))
     by_page, by_copy = [0] * len(page), [0] * len(page)  # neighbours that share each line
@@ -181,9 +182,9 @@ def main_text(page: list[tuple[str, int]], neighbours: list[list[tuple[str, int]
         copy = sum(len(texts[i]) for i in shared) > SAME_SHARE * max(length, sum(map(len, other)))
         for i in shared:
             (by_copy if copy else by_page)[i] += 1
-    deleted = {i for i, (_, kind) in enumerate(page) if kind == OPEN and (by_page[i] or by_copy[i] >= SEVERAL)}
-    article = any(kind == ARTICLE for _, kind in page)
-    return "\n".join(t for i, (t, kind) in enumerate(page) if (kind == ARTICLE if article else i not in deleted))
+    inside = [n >= SEVERAL and n + m == len(neighbours) for n, m in zip(by_page, by_copy)]
+    outside = [by_page[i] > 0 or by_copy[i] >= SEVERAL for i in range(len(page))]
+    return "\n".join(t for i, (t, kind) in enumerate(page) if not (inside[i] if kind == ARTICLE else outside[i]))
 
 
 class Page:

@@ -89,6 +89,17 @@ def test_texts_do_not_depend_on_partitions(spark):
     assert len(seen[0]) == 300 and seen[0] == seen[1] == seen[2]
 
 
+def test_differencing_decides_beside_article_markup(spark):
+    rows = [
+        (i, f"http://h/{i}", f"<div>Site name</div><article><p>Story {c * 40}</p><div>Read all our stories</div></article><p>Afterword {c * 30}</p><div>Legal line</div>")
+        for i, c in enumerate("abcde")
+    ]
+    rows.append((9, "http://g/1", "<article>Teaser</article><p>The main text stands outside of the only article.</p>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"Story {c * 40}\nAfterword {c * 30}" for i, c in enumerate("abcde")}
+    assert {r.page_id: r.text for r in pages.extract(df).collect()} == want | {9: "Teaser\nThe main text stands outside of the only article."}
+
+
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, after string, status string"
 
 
