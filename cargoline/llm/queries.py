@@ -12,6 +12,7 @@ from cargoline.llm.perplexity import op9
 from cargoline.llm.simhash import op2
 from cargoline.llm.substring import op10
 from cargoline.llm.suffix import op5
+from cargoline.llm.whitening import op11
 
 QUERIES = {
     "op1_chat_formatting": op1,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_lm_scoring": op8,
     "op9_quality_rules": op9,
     "op10_substring_dedup": op10,
+    "op11_embedding_whitening": op11,
 }
 
 ORACLES: dict[str, str] = {"op1_chat_formatting": OP1_SQL}
