@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cargoline.llm.byte_bpe import op13
 from cargoline.llm.chat import OP1_SQL, op1
 from cargoline.llm.classifier import op7
 from cargoline.llm.decontaminate import op4
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_quality_rules": op9,
     "op10_substring_dedup": op10,
     "op11_embedding_whitening": op11,
+    "op13_bpe_encoding": op13,
 }
 
 ORACLES: dict[str, str] = {"op1_chat_formatting": OP1_SQL}
