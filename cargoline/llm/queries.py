@@ -11,6 +11,7 @@ from cargoline.llm.packing import op6
 from cargoline.llm.pages import op3
 from cargoline.llm.perplexity import op9
 from cargoline.llm.simhash import op2
+from cargoline.llm.spelling import op12
 from cargoline.llm.substring import op10
 from cargoline.llm.suffix import op5
 from cargoline.llm.whitening import op11
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_rules": op9,
     "op10_substring_dedup": op10,
     "op11_embedding_whitening": op11,
+    "op12_spelling_variants": op12,
     "op13_bpe_encoding": op13,
 }
 
