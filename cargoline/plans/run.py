@@ -1,10 +1,12 @@
-"""The delivery job (X4): source -> transformation -> sink, one scan per sink.
+"""The delivery job (X4): source -> transformation -> sink, one scan of the input.
 
 The original job counted rows after every step (16 Spark actions, each
-re-reading the input).  Here the input profile is one job and the transformation
-and write are one lazy plan.  What the run reports (rows, partition values) is
-counted from the files this run committed, found by listing the sink before
-and after, so appends, retried tasks and skipped writes report what is there.
+re-reading the input).  Here a run with reports reads its input once: the rows are de-duplicated
+with their multiplicities into a written intermediate, from which come the profile of the input,
+the rows left after each step and the rows to write.  A run without reports is one lazy
+plan from the scan to the sink.  What a run wrote is told by its commit record
+(``cargoline.sinks.commits``), so appends, retried tasks and skipped writes report what is there and no
+listing of the sink is needed.
 """
 
 from __future__ import annotations
@@ -21,10 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoline.operators.filters import to_day
-from cargoline.operators.profile import dataset_info, output_summary, rows_per_partition
-from cargoline.plans.transform import DeliveryRules, QualityChecks, transform
-from cargoline.schema import COUNTRY_CODES, OUTPUT_SCHEMA
-from cargoline.sinks.files import SinkSpec, read_back, write, written_by
+from cargoline.operators.profile import ALL_TYPES, funnel_of, info_of, output_summary, profile_of, with_multiplicity
+from cargoline.plans.transform import DeliveryRules, QualityChecks, standardize, transform
+from cargoline.schema import COUNTRY_CODES, OUTPUT_SCHEMA, RAW_COLUMNS
+from cargoline.session import scratch_path
+from cargoline.sinks.commits import Commit
+from cargoline.sinks.files import SinkSpec, commit_write, read_back, stored_rows
 from cargoline.sources.csv import read_deliveries
 
 log = logging.getLogger(__name__)
@@ -100,31 +104,41 @@ def _checked_day(value: str, name: str) -> dt.date:
 
 @dataclasses.dataclass
 class RunResult:
-    """What one run wrote: ``files`` are the files it added, none for a skipped write."""
+    """What one run read and wrote; a skipped write committed no rows."""
 
     output_path: str
     seconds: float
     spark: SparkSession
     output: SinkSpec
-    files: list[str]
-    input_info: dict | None = None
+    commit: Commit
+    params: RunParams
+    source: DataFrame
+    intake: DataFrame | None = None  # the written intermediate of a run with reports
 
     def written(self) -> DataFrame:
         """This run's rows, read back with the standard schema (so partition
         values such as ``process_date`` stay text, nothing is inferred)."""
-        return read_back(self.spark, self.output, OUTPUT_SCHEMA, self.files)
+        return read_back(self.spark, self.output, OUTPUT_SCHEMA, self.commit)
 
-    @functools.cached_property
+    @property
     def rows_written(self) -> int:
-        """Rows in the files this run committed."""
-        return self.written().count()
+        """Rows that this run's write job committed."""
+        return self.commit.rows
 
     def rows_per_partition(self) -> DataFrame:
-        return rows_per_partition(self.written(), self.output.partition_column or "process_date")
+        """Rows by partition value, from the footers of this run's files."""
+        column = self.commit.partition_column or "process_date"
+        return stored_rows(self.spark, self.output, column, OUTPUT_SCHEMA, self.commit)
 
     def summary(self) -> DataFrame:
-        """``total_records`` and ``partition_values`` of this run alone."""
-        return output_summary(self.written(), self.output.partition_column or "process_date")
+        """``total_records`` and ``partition_values`` of this run alone.
+
+        From the commit record; an unpartitioned write's values are counted in its files.
+        """
+        if self.commit.rows and not self.commit.partition_column:
+            return output_summary(self.written(), "process_date")
+        values = len(set(self.commit.partitions)) if self.commit.rows else 0
+        return self.spark.range(1).select(F.lit(self.commit.rows).cast("bigint").alias("total_records"), F.lit(values).cast("bigint").alias("partition_values"))
 
     def metrics(self) -> DataFrame:
         """One row of run metrics: target, format, rows written and partition values of this run, seconds."""
@@ -133,24 +147,53 @@ class RunResult:
             F.col("total_records").alias("rows_written"), "partition_values", F.lit(float(self.seconds)).alias("seconds"),
         )
 
+    def _reported(self) -> DataFrame:
+        if self.intake is None:
+            raise ValueError("this run kept no reports; set RunParams.profile_input")
+        return self.intake
+
+    def input_profile(self) -> DataFrame:
+        """``(column_name, value, rows)`` of the run's input (P1)."""
+        return profile_of(self._reported())
+
+    @functools.cached_property
+    def input_info(self) -> dict | None:
+        """Row count, columns, schema and numbers of distinct values of the input."""
+        return None if self.intake is None else info_of(self.source, self.input_profile())
+
+    def funnel(self) -> DataFrame:
+        """``(step, stage, rows)``: the rows left after each step of this run (P3)."""
+        p = self.params
+        types = p.rules.valid_delivery_types if p.quality.filter_valid_delivery_types else ALL_TYPES
+        return funnel_of(self._reported(), p.start_date, p.end_date, p.country, types)
+
+
+def take_in(source: DataFrame, quality: QualityChecks) -> DataFrame:
+    """The one scan of a run with reports: ``with_multiplicity`` written under the shared scratch root.
+
+    The run's own filters and its reports read it; a lost executor costs no second look at the input.
+    """
+    grouped = with_multiplicity(source, quality.remove_empty_material, quality.remove_duplicates, quality.fix_scientific_notation)
+    path = scratch_path(source.sparkSession, "run-intake")
+    grouped.write.parquet(path)
+    return source.sparkSession.read.schema(grouped.schema).parquet(path)
+
 
 def run_delivery_job(source: DataFrame, params: RunParams) -> RunResult:
     """Transform ``source`` (nine raw columns) and write it as ``params.output``."""
     params.check()
     t0 = time.time()
-    info = dataset_info(source) if params.profile_input else None
-    out = transform(
-        source,
-        params.start_date,
-        params.end_date,
-        country=params.country,
-        quality=params.quality,
-        rules=params.rules,
-    )
-    added = written_by(lambda: write(out, params.output), source.sparkSession, params.output)
+    arguments = dict(country=params.country, quality=params.quality, rules=params.rules)
+    if params.profile_input:
+        intake = take_in(source, params.quality)
+        cleaned = intake.where(~F.col("dropped")).select(*RAW_COLUMNS)
+        out = standardize(cleaned, params.start_date, params.end_date, **arguments)
+    else:
+        intake, out = None, transform(source, params.start_date, params.end_date, **arguments)
+    commit = commit_write(out, params.output)
     secs = time.time() - t0
-    log.info("wrote %d files to %s in %.2fs", len(added), params.output.path, secs)
-    return RunResult(params.output.path, secs, source.sparkSession, params.output, added, info)
+    log.info("job %s wrote %d rows to %s in %.2fs", commit.job, commit.rows, params.output.path, secs)
+    return RunResult(params.output.path, secs, source.sparkSession, params.output, commit, params, source, intake)
 
 
 def run_delivery_job_from_csv(spark: SparkSession, input_path: str, params: RunParams) -> RunResult:

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cargoline.operators.clean import clean
 from cargoline.operators.enrich import (
@@ -27,7 +28,7 @@ from cargoline.operators.filters import (
     filter_date_range,
     filter_delivery_types,
 )
-from cargoline.schema import BONUS_TYPES, BOX_FACTOR, ROUTINE_TYPES
+from cargoline.schema import BONUS_TYPES, BOX_FACTOR, RENAME_TO_STANDARD, ROUTINE_TYPES
 
 
 @dataclasses.dataclass(frozen=True)
@@ -94,7 +95,21 @@ def transform(
         remove_duplicates=q.remove_duplicates,
         fix_scientific_notation=q.fix_scientific_notation,
     )
-    if q.filter_valid_delivery_types:
+    return standardize(out, start_date, end_date, country, q, rules, with_timestamp)
+
+
+def standardize(
+    cleaned: DataFrame,
+    start_date: str | dt.date,
+    end_date: str | dt.date,
+    country: str | None = None,
+    quality: QualityChecks = QualityChecks(),
+    rules: DeliveryRules = DeliveryRules(),
+    with_timestamp: bool = True,
+) -> DataFrame:
+    """The transformation's steps after cleaning."""
+    out = cleaned
+    if quality.filter_valid_delivery_types:
         out = filter_delivery_types(out, rules.valid_delivery_types)
     out = filter_date_range(out, start_date, end_date)
     out = filter_country(out, country)
@@ -103,3 +118,11 @@ def transform(
     out = add_calculated_columns(out, with_timestamp=with_timestamp)
     return select_final(rename_to_standard(out))
 
+
+def from_standard(df: DataFrame) -> DataFrame:
+    """The nine raw columns of standard output (E10 backwards), so a run can read an earlier run's files.
+
+    Over a sink partitioned by ``process_date`` the date range becomes a filter on the partition
+    column: folders outside it are not listed into the scan, let alone read.
+    """
+    return df.select([F.col(new).alias(raw) for raw, new in RENAME_TO_STANDARD.items()])

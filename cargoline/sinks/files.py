@@ -12,19 +12,18 @@ from __future__ import annotations
 
 import dataclasses
 import logging
-import re
-from collections.abc import Callable
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cargoline.storage import files, partition_values
+from cargoline.sinks.commits import RECORDS, Commit, basename, new_job, observed, record
+from cargoline.storage import children, delete, exists, partition_values
 
 log = logging.getLogger(__name__)
 
-JOB_ID = re.compile(r"/part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$")
+BASENAME = "mapreduce.output.basename"  # Hadoop's name for the beginning of output file names
 EXISTS = "cargoline: date already in the sink"
 FORMATS = ("parquet", "csv", "json")
 MODES = ("overwrite", "append", "error", "errorifexists", "ignore")
@@ -54,57 +53,87 @@ class SinkSpec:
         object.__setattr__(self, "mode", self.mode.lower())
 
 
-def _writer(df: DataFrame, spec: SinkSpec, partition_col: str | None):
+def _save(df: DataFrame, spec: SinkSpec, how: str, partition_col: str | None, called: str | None = None) -> Commit:
+    """Write ``df`` as one job with file names of its own, and record what it committed.
+
+    ``how``: Spark's mode, or ``dynamic`` to replace the partitions that ``df`` fills; ``called``: the mode recorded.
+    """
+    job = new_job()
     if partition_col:
         df = df.hint("rebalance", partition_col)
-    w = df.write.mode(spec.mode)
+    df, seen = observed(df, partition_col)
+    w = df.write.mode("overwrite" if how == "dynamic" else how).format(spec.format).option(BASENAME, basename(job))
     if spec.format == "parquet":
         w = w.option("compression", spec.compression)
     elif spec.format == "csv":
         w = w.option("header", True).option("quote", '"').option("escape", '"')
+    if how == "dynamic":
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_col:
         w = w.partitionBy(partition_col)
-    return w
+    w.save(spec.path)
+    return record(df.sparkSession, spec.path, spec.format, called or how, job, partition_col, seen)
 
 
-def write(df: DataFrame, spec: SinkSpec, partition_by: str | None = None) -> str:
-    """Write ``df`` as ``spec`` says; returns the output path.
+def _drop_superseded(spark: SparkSession, commit: Commit) -> None:
+    """After an overwrite has committed: what it replaces goes, first from the record, then from the sink.
+
+    Folders of the job's own partitions hold only its files by then; others are deleted whole.
+    """
+    for name in children(spark, f"{commit.path}/{RECORDS}"):
+        if name != f"{commit.job}.json":
+            delete(spark, f"{commit.path}/{RECORDS}/{name}")
+    own = {f.rsplit("/", 1)[1] for f in commit.folders(spark)} if commit.partition_column else set()
+    for name in children(spark, commit.path):
+        if not name.startswith(("_", ".")) and name not in own and not name.startswith(f"{basename(commit.job)}-"):
+            delete(spark, f"{commit.path}/{name}")
+
+
+def commit_write(df: DataFrame, spec: SinkSpec, partition_by: str | None = None) -> Commit:
+    """Write ``df`` as ``spec`` says and return the job's commit record.
 
     ``partition_by`` overrides the spec's column for this call.  When the
     chosen column is not in ``df`` the data is written unpartitioned.
+
+    ``overwrite`` replaces the whole sink, but only once the new files are committed: a run that fails
+    midway leaves the old rows as they are.  ``ignore`` writes nothing if the path is
+    there; ``error`` then fails before any job.
     """
+    spark = df.sparkSession
     col = partition_by or spec.partition_column
     if col and col not in df.columns:
         log.warning("partition column %r not in frame; writing unpartitioned", col)
         col = None
-    _writer(df, spec, col).format(spec.format).save(spec.path)
-    return spec.path
+    if spec.mode == "ignore" and exists(spark, spec.path):
+        return record(spark, spec.path, spec.format, spec.mode, new_job(), col, None)
+    if spec.mode != "overwrite":
+        return _save(df, spec, spec.mode, col)
+    # Parts of the sink that the new rows fill are swapped when the job commits, by Spark; the rest goes after it.
+    commit = _save(df, spec, "dynamic" if col else "append", col, "overwrite")
+    _drop_superseded(spark, commit)
+    return commit
 
 
-def written_by(write_call: Callable[[], object], spark: SparkSession, spec: SinkSpec) -> list[str]:
-    """Run ``write_call`` and return the files it added to the sink.
-
-    Compares two listings of the sink; nothing is read.  Files of another
-    writer that lands in the same sink at the same time would count too.
-    """
-    before = set(files(spark, spec.path))
-    write_call()
-    return [f.path for f in files(spark, spec.path) if f not in before]
+def write(df: DataFrame, spec: SinkSpec, partition_by: str | None = None) -> str:
+    """Write ``df`` as ``spec`` says (see ``commit_write``); returns the output path."""
+    return commit_write(df, spec, partition_by).path
 
 
 def read_back(
     spark: SparkSession,
     spec: SinkSpec,
     schema: StructType | str | None = None,
-    paths: list[str] | None = None,
+    commit: Commit | None = None,
     multiline: bool = True,
 ) -> DataFrame:
-    """Read a sink's output, or only its files ``paths`` (partition columns come back last).
+    """Read a sink's output, or only what one write job committed (partition columns come back last).
 
-    CSV fields may hold line breaks, so CSV files are read whole;
-    ``multiline=False`` lets Spark split files that hold none.
+    A commit's files are found in the folders of its own partitions, by their names.  CSV fields may
+    hold line breaks, so CSV files are read whole; ``multiline=False`` lets Spark split
+    files that hold none.
     """
-    if paths is not None and not paths:
+    folders = commit.folders(spark) if commit is not None else [spec.path]
+    if not folders:
         if schema is None:
             raise ValueError("no files and no schema")
         return spark.createDataFrame([], schema)
@@ -113,13 +142,25 @@ def read_back(
         r = r.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
     if schema is not None:
         r = r.schema(schema)
-    if paths is None:
-        return r.load(spec.path)
-    jobs = {m[0] if (m := JOB_ID.findall(p)) else p for p in paths}
-    if len(jobs) == 1 and JOB_ID.search(paths[0]):
-        # One write job's files share an id; Spark prunes the others before any is opened.
-        return r.load(spec.path).where(F.col("_metadata.file_name").contains(jobs.pop()))
-    return r.option("basePath", spec.path).load(paths)
+    if commit is not None:
+        r = r.option("basePath", spec.path).option("pathGlobFilter", commit.file_pattern)
+    return r.load(folders)
+
+
+def stored_rows(
+    spark: SparkSession,
+    spec: SinkSpec,
+    column: str = "process_date",
+    schema: StructType | str | None = None,
+    commit: Commit | None = None,
+    multiline: bool = True,
+) -> DataFrame:
+    """``(column, rows)`` of a sink, or of one commit's files.
+
+    No data column is read: of Parquet files only the footers, which hold the row
+    counts; CSV and JSON lines have to be scanned.
+    """
+    return read_back(spark, spec, schema, commit, multiline).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def write_by_date(
@@ -138,7 +179,7 @@ def write_by_date(
     there are taken from the sink's folder names; no old file is opened.
 
     Returns ``(date_column, path, rows)`` of this call's dates, counted from the
-    files this call wrote.  They are read with ``schema``, by default the
+    files this call committed.  They are read with ``schema``, by default the
     frame's own, so date values keep their type.
     """
     if date_column not in df.columns:
@@ -160,16 +201,13 @@ def write_by_date(
                 stop = F.when(F.col("_there"), F.raise_error(F.lit(EXISTS).cast("string")).cast(kind)).otherwise(df[date_column])
                 out = df.join(known, hit, "left").select(*[(stop if c == date_column else df[c]).alias(c) for c in df.columns])
         mode = "append"
-    writer = _writer(out, dataclasses.replace(spec, mode=mode), date_column)
-    if mode == "overwrite":
-        writer = writer.option("partitionOverwriteMode", "dynamic")
     try:
-        added = written_by(lambda: writer.format(spec.format).save(spec.path), spark, spec)
+        commit = _save(out, spec, "dynamic" if mode == "overwrite" else mode, date_column, "overwrite dates" if mode == "overwrite" else mode)
     except PySparkException as exc:
         if EXISTS in str(exc):
             raise SinkExistsError(f"dates already written under {spec.path}") from exc
         raise
-    return rows_per_directory(spark, spec, date_column, schema, added, multiline)
+    return rows_per_directory(spark, spec, date_column, schema, commit, multiline)
 
 
 def rows_per_directory(
@@ -177,14 +215,14 @@ def rows_per_directory(
     spec: SinkSpec,
     column: str,
     schema: StructType | None = None,
-    paths: list[str] | None = None,
+    commit: Commit | None = None,
     multiline: bool = True,
 ) -> DataFrame:
-    """``(column, path, rows)`` for the directories of ``paths``, or of the whole sink."""
-    if paths is not None and not paths:
+    """``(column, path, rows)`` for the directories of one commit, or of the whole sink."""
+    if commit is not None and not commit.rows:
         kind = (schema[column].dataType if schema is not None else "string")
         return spark.createDataFrame([], StructType([StructField(column, kind), StructField("path", StringType()), StructField("rows", LongType())]))
-    data = read_back(spark, spec, schema, paths, multiline)
+    data = read_back(spark, spec, schema, commit, multiline)
     directory = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
     return data.groupBy(F.col(column), directory.alias("path")).agg(
         F.count(F.lit(1)).alias("rows")

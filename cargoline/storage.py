@@ -41,15 +41,38 @@ def files(spark: SparkSession, path: str) -> list[StoredFile]:
     return sorted(out)
 
 
-def partition_values(spark: SparkSession, path: str, column: str) -> list[str | None]:
-    """Values of the ``column=value`` folders directly under ``path`` that hold a file."""
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is missing."""
     fs, p = _open(spark, path)
-    if not fs.exists(p):
-        return []
+    return [status.getPath().getName() for status in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    fs, p = _open(spark, path)
+    fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, written by the driver."""
+    fs, p = _open(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
+    """The folder name ``column=value`` as Spark's partitioned writes escape it; null and '' share one."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str | None]:
+    """Values of the ``column=value`` folders directly under ``path``: one call, no folder is opened."""
     out = []
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{column}=") and fs.listFiles(status.getPath(), True).hasNext():
+    for name in children(spark, path):
+        if name.startswith(f"{column}="):
             value = unquote(name.partition("=")[2])
             out.append(None if value == NULL_FOLDER else value)
     return out
