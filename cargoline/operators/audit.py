@@ -36,3 +36,19 @@ def audit_bad_countries(
         .groupBy(c.alias("value"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+
+
+def audit_countries_table(
+    df: DataFrame, codes: DataFrame, code_column: str = "code", column: str = "pais"
+) -> DataFrame:
+    """Non-NULL values whose upper case is not among ``codes``' own (upper-cased): ``(value, rows)``.
+
+    The rows are counted per value first, inside every task, so what meets the code table is one row a
+    distinct value, whatever share of the rows a value holds.  How they meet is left to
+    Spark's size check: a small code table is broadcast, a large one is merged.  A
+    null code matches nothing; an empty code table reports every value.
+    """
+    c = F.col(column)
+    found = df.filter(c.isNotNull()).groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    known = codes.select(F.upper(F.col(code_column)).alias("_known")).filter("_known IS NOT NULL").distinct()
+    return found.join(known, F.upper(found["value"]) == known["_known"], "left_anti")

@@ -273,3 +273,35 @@ ORACLES: dict[str, str] = {
     + "SELECT pais AS value, count(*) AS rows FROM deliveries WHERE pais IS NOT NULL AND "
     f"upper(pais) NOT IN {_codes(Q.CODES_WITHOUT_JM)} GROUP BY pais",
 }
+
+_KEPT_ROWS = "SELECT true AS refused, count(*) AS rows, count(DISTINCT process_date) AS dates FROM output"
+ORACLES |= {
+    # refused and failed writes leave the first one's rows
+    "sink_error": with_fixture(CLEANED, output_cte()) + _KEPT_ROWS,
+    "sink_by_date_error": with_fixture(CLEANED, output_cte("output", *Q.FIRST_HALF)) + _KEPT_ROWS,
+    "sink_overwrite_failed": with_fixture(CLEANED, output_cte()) + _KEPT_ROWS,
+    # what write jobs record, and what their files tell
+    "sink_commits": with_fixture(
+        CLEANED, output_cte("first_run"), output_cte("later_run", Q.LATER_START, Q.LATER_END), output_cte("dates_run", *Q.FIRST_HALF),
+        "jobs AS (SELECT 'append' AS mode, 1 AS job, process_date FROM first_run UNION ALL SELECT 'append', 2, process_date FROM later_run "
+        "UNION ALL SELECT 'overwrite dates', 3, process_date FROM dates_run)",
+    )
+    + "SELECT mode, 'parquet' AS format, 'process_date' AS partition_column, count(*) AS rows, count(DISTINCT process_date) AS partition_values FROM jobs GROUP BY mode, job",
+    "sink_rows_per_partition": with_fixture(CLEANED, output_cte("first_run"), output_cte("later_run", Q.LATER_START, Q.LATER_END))
+    + "SELECT process_date, count(*) AS rows FROM (SELECT process_date FROM first_run UNION ALL SELECT process_date FROM later_run) GROUP BY process_date",
+    "run_rows_per_partition": with_fixture(CLEANED, output_cte(country=Q.COUNTRY))
+    + "SELECT process_date, count(*) AS rows FROM output GROUP BY process_date",
+    "run_input_profile": ORACLES["profile_values"],
+    "run_funnel": ORACLES["cleaning_funnel"],
+    "run_over_own_output": output_sql(start=Q.SECOND_HALF[0], end=Q.SECOND_HALF[1]),
+    # damaged records: unreadable price, short, long
+    "csv_scan_rejects": with_fixture(
+        "lines AS (SELECT *, CAST(substr(transporte, 2) AS BIGINT) % 5 AS t FROM deliveries WHERE material IS NULL OR material NOT IN ('', '\"\"'))"
+    )
+    + "SELECT transporte, t < 3 AS is_rejected, CAST(CASE t WHEN 0 THEN 9 WHEN 1 THEN 5 WHEN 2 THEN 10 END AS BIGINT) AS fields, count(*) AS rows, "
+    "count(precio) FILTER (t > 1) AS prices, count(cantidad) FILTER (t <> 1) AS quantities, count(fecha_proceso) AS dates, "
+    "CAST(sum(precio) FILTER (t > 1) AS DECIMAL(38,6)) AS price_sum FROM lines GROUP BY transporte, t",
+    "audit_countries_table": with_fixture()
+    + "SELECT pais AS value, count(*) AS rows FROM deliveries WHERE pais IS NOT NULL AND "
+    "upper(pais) NOT IN (SELECT upper(substr(n_name, 1, 2)) FROM nation) GROUP BY pais",
+}

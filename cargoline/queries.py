@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargoline.operators.audit import audit_bad_countries, audit_bad_dates
+from cargoline.operators.audit import audit_bad_countries, audit_bad_dates, audit_countries_table
 from cargoline.operators.clean import clean, drop_blank_material, drop_duplicates, fix_tiny_price
 from cargoline.operators.enrich import (
     add_calculated_columns,
@@ -36,12 +37,13 @@ from cargoline.operators.profile import (
 )
 from cargoline.functions import parse_process_date, quality_flag, total_value, unit_price
 from cargoline.plans.run import RunParams, run_delivery_job, run_delivery_job_from_csv
-from cargoline.plans.transform import DeliveryRules, transform
+from cargoline.plans.transform import DeliveryRules, from_standard, transform
 from cargoline.schema import DELIVERY_SCHEMA, OUTPUT_SCHEMA, RAW_COLUMNS
 from cargoline.session import scratch_path
-from cargoline.sinks.files import SinkSpec, read_back, write, write_by_date
-from cargoline.sources.csv import read_csv, read_deliveries
-from cargoline.sources.fixture import deliveries, land_deliveries
+from cargoline.sinks.commits import commits
+from cargoline.sinks.files import SinkExistsError, SinkSpec, read_back, stored_rows, write, write_by_date
+from cargoline.sources.csv import read_csv, read_csv_with_rejects, read_deliveries
+from cargoline.sources.fixture import deliveries, land_deliveries, table
 
 # Run parameters of the registered queries (the test tables span 1995-2001).
 START, END = "1997-01-01", "1998-06-30"
@@ -112,6 +114,22 @@ def q_deliveries_scan(spark, sf_dir):
     return read_deliveries(spark, _fixture_csv(spark, sf_dir))
 
 
+def q_csv_scan_rejects(spark, sf_dir):
+    """Deliveries as CSV lines, some damaged by their transport: which records the scan rejects, and what it still reads of them."""
+    d = deliveries(spark, sf_dir).where("material IS NULL OR material NOT IN ('', '\"\"')").withColumn("t", F.substring("transporte", 2, 20).cast("long") % 5)
+    line = F.to_csv(F.struct(*RAW_COLUMNS))
+    no_price = F.to_csv(F.struct(*[F.lit("n/a").alias(c) if c == "precio" else F.col(c) for c in RAW_COLUMNS]))
+    short, long = F.to_csv(F.struct(*RAW_COLUMNS[:5])), F.concat(line, F.lit(",more"))
+    path = scratch_path(spark, "csv-rejects")
+    d.select(F.when(F.col("t") == 0, no_price).when(F.col("t") == 1, short).when(F.col("t") == 2, long).otherwise(line).alias("value")).write.text(path)
+    found = read_csv_with_rejects(spark, path, header=False, multiline=False)
+    fields = F.when(F.col("rejected").isNotNull(), F.size(F.split("rejected", ",")))
+    return found.groupBy("transporte", F.col("rejected").isNotNull().alias("is_rejected"), fields.cast("long").alias("fields")).agg(
+        F.count("*").alias("rows"), F.count("precio").alias("prices"), F.count("cantidad").alias("quantities"), F.count("fecha_proceso").alias("dates"),
+        F.sum("precio").cast("decimal(38,6)").alias("price_sum"),
+    )
+
+
 # --- sinks --------------------------------------------------------------------
 
 
@@ -166,6 +184,56 @@ def q_sink_ignore(spark, sf_dir):
     return _read_output(spark, first)
 
 
+def _refused(spark, write_call, spec, errors):
+    """Whether a second write was refused, and the rows and dates that are there after it."""
+    try:
+        write_call()
+        refused = False
+    except errors:
+        refused = True
+    return _read_output(spark, spec).agg(
+        F.lit(refused).alias("refused"), F.count("*").alias("rows"), F.countDistinct("process_date").alias("dates")
+    )
+
+
+def q_sink_error(spark, sf_dir):
+    spec = _spec(spark, "sink-error", mode="error")
+    write(_output(spark, sf_dir), spec)
+    return _refused(spark, lambda: write(_output(spark, sf_dir, LATER_START, LATER_END), spec), spec, AnalysisException)
+
+
+def q_sink_by_date_error(spark, sf_dir):
+    spec = _spec(spark, "sink-by-date-error", mode="error")
+    write_by_date(_output(spark, sf_dir, *FIRST_HALF), spec, schema=OUTPUT_SCHEMA)
+    return _refused(spark, lambda: write_by_date(_output(spark, sf_dir, *SECOND_HALF), spec, schema=OUTPUT_SCHEMA), spec, SinkExistsError)
+
+
+def q_sink_overwrite_failed(spark, sf_dir):
+    """An overwrite that fails on one of its dates; the rows that were there stay."""
+    spec = _spec(spark, "sink-overwrite-failed")
+    write(_output(spark, sf_dir), spec)
+    late = _output(spark, sf_dir, LATER_START, LATER_END)
+    broken = late.withColumn("route_id", F.when(F.col("process_date") == "19981230", F.raise_error(F.lit("lost its input"))).otherwise(F.col("route_id")))
+    return _refused(spark, lambda: write(broken, spec), spec, PySparkException)
+
+
+def q_sink_commits(spark, sf_dir):
+    """The records of three write jobs: two appends and one that replaces its dates."""
+    spec = _spec(spark, "sink-commits", mode="append")
+    write(_output(spark, sf_dir), spec)
+    write(_output(spark, sf_dir, LATER_START, LATER_END), spec)
+    write_by_date(_output(spark, sf_dir, *FIRST_HALF), SinkSpec(spec.path))
+    return commits(spark, spec.path).select("mode", "format", "partition_column", "rows", F.size("partitions").cast("long").alias("partition_values"))
+
+
+def q_sink_rows_per_partition(spark, sf_dir):
+    """Rows by date of a sink that two jobs filled, from its files' footers."""
+    spec = _spec(spark, "sink-rows", mode="append")
+    write(_output(spark, sf_dir), spec)
+    write(_output(spark, sf_dir, LATER_START, LATER_END), spec)
+    return stored_rows(spark, spec, schema=OUTPUT_SCHEMA)
+
+
 def q_sink_csv_multiline(spark, sf_dir):
     spec = _spec(spark, "sink-csv-multiline", format="csv")
     out = _values(_output(spark, sf_dir)).withColumn("material_code", F.concat("material_code", F.lit("\nB")))
@@ -363,6 +431,32 @@ def q_run_metrics_ignore(spark, sf_dir):
     return _metrics(spark, sf_dir, "run-metrics-ignore", "ignore", (LATER_START, LATER_END))
 
 
+def _reported_run(spark, sf_dir, name):
+    params = RunParams(START, END, output=_spec(spark, name), country=COUNTRY.lower())
+    return run_delivery_job(deliveries(spark, sf_dir), params)
+
+
+def q_run_input_profile(spark, sf_dir):
+    return _reported_run(spark, sf_dir, "run-profile").input_profile()
+
+
+def q_run_funnel(spark, sf_dir):
+    return _reported_run(spark, sf_dir, "run-funnel").funnel()
+
+
+def q_run_rows_per_partition(spark, sf_dir):
+    return _reported_run(spark, sf_dir, "run-rows").rows_per_partition()
+
+
+def q_run_over_own_output(spark, sf_dir):
+    """A run over an earlier run's files, for the dates of the second half."""
+    spec = _spec(spark, "run-first")
+    run_delivery_job(deliveries(spark, sf_dir), RunParams(START, END, output=spec, profile_input=False))
+    earlier = from_standard(read_back(spark, spec, OUTPUT_SCHEMA))
+    again = RunParams(*SECOND_HALF, output=_spec(spark, "run-again"), profile_input=False)
+    return _values(run_delivery_job(earlier, again).written())
+
+
 # --- profiles and audits ----------------------------------------------------------
 
 
@@ -398,6 +492,12 @@ def q_audit_bad_countries_custom(spark, sf_dir):
     return audit_bad_countries(deliveries(spark, sf_dir), CODES_WITHOUT_JM)
 
 
+def q_audit_countries_table(spark, sf_dir):
+    """Against the first two letters of the nations' names."""
+    codes = table(spark, sf_dir, "nation").select(F.substring("n_name", 1, 2).alias("code"))
+    return audit_countries_table(deliveries(spark, sf_dir), codes)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

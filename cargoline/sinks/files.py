@@ -108,9 +108,11 @@ def commit_write(df: DataFrame, spec: SinkSpec, partition_by: str | None = None)
         return record(spark, spec.path, spec.format, spec.mode, new_job(), col, None)
     if spec.mode != "overwrite":
         return _save(df, spec, spec.mode, col)
+    fresh = not exists(spark, spec.path)
     # Parts of the sink that the new rows fill are swapped when the job commits, by Spark; the rest goes after it.
     commit = _save(df, spec, "dynamic" if col else "append", col, "overwrite")
-    _drop_superseded(spark, commit)
+    if not fresh:
+        _drop_superseded(spark, commit)
     return commit
 
 

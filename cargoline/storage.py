@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import dataclasses
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
 
 
 @dataclasses.dataclass(frozen=True, order=True)
@@ -65,6 +67,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def partition_folder(spark: SparkSession, column: str, value: str | None) -> str:
     """The folder name ``column=value`` as Spark's partitioned writes escape it; null and '' share one."""
+    if value and PLAIN.fullmatch(column + value):
+        return f"{column}={value}"  # nothing to escape
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
 
 
