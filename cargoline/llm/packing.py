@@ -21,7 +21,6 @@ import re
 import struct
 from collections import deque
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,6 +34,8 @@ SENTENCE_PENALTY, GRID_PENALTY, GRID, WINDOW_COST = 8, 40, 64, 32
 FLUSH_WINDOWS, MOST_WINDOWS = 256, 1024
 WORDS_HELD = 1 << 19
 MARKED_WORD = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-z]+)([!-&(-/:-@\[-`{-~]*)")  # ASCII letters between marks, no apostrophe
+#: Fixed value: the pattern of words in vocabularies of this kind.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SENTENCE_END = re.compile(r"[.!?]+(?=\s)|\n")
 PIECES = "doc_id long, tkey long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -42,24 +43,34 @@ PIECES = "doc_id long, tkey long, start long, length long, ids binary, doc_token
 class WordIds(dict):
     """Little-endian 32-bit ids of a word's tokens; at most ``WORDS_HELD`` words are remembered.
 
-    White space separates tokens in this vocabulary, so a text's ids are its
+    White space separates tokens in such a vocabulary, so a text's ids are its
     words' ids in order.  Case is folded, and letters are separated from marks, so
-    an ASCII word shares the work of its letters with its other spellings.
+    an ASCII word shares the work of its letters with its other spellings.  Special tokens'
+    strings are their ids, as in the file.  Other kinds of vocabularies are refused.
     """
 
     def __init__(self, path: str | None):
+        import json
+
         import public_tokenizers
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
-        self.tokenizer.encode_special_tokens = True
+        path = path or public_tokenizers.path("word_bpe_49k.json")
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", ())]
+        cut = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        if "Lowercase" not in steps or cut.get("pattern", {}).get("Regex") != WORD_PATTERN or cut["behavior"] != "Removed" or not cut["invert"]:
+            raise ValueError("not a lower-case vocabulary of words without white space")
+        self.special = [x["content"] for x in spec["added_tokens"]]
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= WORDS_HELD:
             self.clear()
         value = None
-        if word.isascii():
+        if word.isascii() and not any(x in word for x in self.special):
             low = word.lower()
             m = MARKED_WORD.fullmatch(low)
             if m and m[2] != word:
@@ -71,10 +82,14 @@ class WordIds(dict):
         return value
 
 
-@lru_cache(maxsize=2)
 def word_ids(path: str | None) -> WordIds:
-    """Kept by the Python worker for its later tasks."""
-    return WordIds(path)
+    """Kept by the Python worker for its later tasks, at a module that every worker has."""
+    import public_tokenizers
+
+    held = vars(public_tokenizers).setdefault("_word_ids", {})
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
 
 
 def sentences(text: str) -> Iterator[str]:
