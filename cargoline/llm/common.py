@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,16 @@ def text_key(text_col: str) -> Column:
     return F.shiftright(F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")), 1)
 
 
+def blocks_of(column, size: int) -> Iterator[tuple[int, int]]:
+    """``(first, number)`` of consecutive texts that hold about ``size`` bytes together, or one longer text."""
+    lengths = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, lo = np.cumsum(lengths), 0
+    while lo < len(lengths):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - lengths[lo] + size, "right")))
+        yield lo, hi - lo
+        lo = hi
+
+
 def texts(column) -> Iterator[bytes]:
     """The UTF-8 bytes of an Arrow string column, one value at a time; null as b''."""
     for value in column:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import land, table
+from cargoline.llm.common import blocks_of, land, table
 
 ORDER, SYMBOL_BITS, LANG_SHIFT, HASH_BITS = 5, 11, 55, 20
 START, END, FIRST = 1, 2, 3  # symbols; 0: none
@@ -42,6 +42,8 @@ SINGLES, FAR, DIGITS, LANGS = 1900, 1 << 18, (1 << SYMBOL_BITS) - FIRST, 256
 # shouting lie below; passages in another language, which are no fault, above.
 BELOW, ABOVE, LEAST_SCALE = 4.5, 12.0, 0.05
 WORDS_HELD = 1 << 17  # distinct words a task holds before it adds up
+SCORES_HELD = 1 << 16  # scored words of a language that a task remembers
+TEXT_BYTES = 1 << 20  # text that is scored at a time
 WINDOWS_HELD = 1 << 17  # windows of a text held as tuples; longer texts are only numbered
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
@@ -167,7 +169,7 @@ def _discounts(level: DataFrame) -> list[float]:
     return [min(max(d, 0.1 * i), 0.95 * i) for i, d in zip((1, 2, 3), raw)]
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", codes: dict[str, int] | None = None) -> Model:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", codes: dict[str, int] | None = None) -> dict:
     """The model of all texts, learned and stored as described above.
 
     ``codes`` are the languages' codes, at most ``LANGS`` (default: those of ``docs``).
@@ -203,7 +205,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", codes
             slot = pa.array(slots(b["gram"].to_numpy(), HASH_BITS))
             yield pa.RecordBatch.from_arrays([b["k"], slot, b["p"], b["w"]], ["k", "slot", "p", "w"])
 
-    model = Model()
+    model: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for part in arrays:
         folded = part.mapInArrow(fold, "k int, slot long, p double, w double").groupBy("k", "slot").agg(
             (F.sum(F.col("p") * F.col("w")) / F.sum("w")).cast("float").alias("p")
@@ -218,30 +220,17 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", codes
 # --- scoring --------------------------------------------------------------------
 
 
-class Model(dict):
-    """Sorted hash arrays ``{order or -order of a context: (hashes, values)}``."""
-
-    def __init__(self):
-        super().__init__()
-        self.places: dict[int, np.ndarray] = {}
-
-    def place(self, key: int) -> np.ndarray:
-        """Place of every hash in its array (-1: absent): 4 MB a table, made where it is used."""
-        if key not in self.places:
-            hashes = self[key][0]
-            self.places[key] = place = np.full(1 << HASH_BITS, -1, np.int32)
-            place[hashes] = np.arange(len(hashes), dtype=np.int32)
-        return self.places[key]
-
-
-def _probe(model: Model, key: int, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _probe(model: dict, key: int, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which grams the sorted hash arrays ``{order or -order of a context: (hashes, values)}`` hold, and their values."""
     if key not in model:
         return np.zeros(len(gram), bool), np.zeros(len(gram), np.float32)
-    at = model.place(key)[slots(gram, HASH_BITS)]
-    return at >= 0, model[key][1][at]
+    hashes, values = model[key]
+    slot = slots(gram, HASH_BITS).astype(np.int32)
+    at = np.minimum(np.searchsorted(hashes, slot), len(hashes) - 1)
+    return hashes[at] == slot, values[at]
 
 
-def log_probabilities(words: list[bytes], lang: int, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def log_probabilities(words: list[bytes], lang: int, model: dict) -> tuple[np.ndarray, np.ndarray]:
     """Natural log probability and number of symbols of each word."""
     gram, heads = word_grams(words, lang)
     value = np.full(len(gram), -SYMBOL_BITS * np.log(2))
@@ -282,12 +271,11 @@ def base_stats(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_letters")
 
 
-def scored(docs: DataFrame, model: dict, codes: dict[str, int], carry: list[str], text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``(doc, lang, <statistics>, surprise)``: ``doc`` holds the columns ``carry``, ``codes`` the model's languages.
+def scored(docs: DataFrame, held, codes: dict[str, int], carry: list[str], text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``(doc, lang, <statistics>, surprise)``: ``doc`` holds the columns ``carry``, ``held`` is the broadcast model, ``codes`` its languages.
 
     ``surprise`` is the mean of ``-ln p`` over the symbols of the words, 0 without words.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(
         F.struct(*[docs[c] for c in carry]).alias("doc"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     )
@@ -295,14 +283,14 @@ def scored(docs: DataFrame, model: dict, codes: dict[str, int], carry: list[str]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, dict[bytes, tuple[float, int]]] = {}
         for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                b = whole.slice(lo, 512)
+            for lo, n in blocks_of(whole["text"], TEXT_BYTES):
+                b = whole.slice(lo, n)
                 full = [t.as_py() or "" for t in b["text"]]
                 split = [t.encode("utf-8", "replace").split() for t in full]
                 langs = [codes[x.as_py() or ""] for x in b["lang"]]
                 for lang in set(langs):
                     cache = known.setdefault(lang, {})
-                    if len(cache) > 1 << 17:
+                    if len(cache) > SCORES_HELD:
                         cache.clear()
                     new = list({w for words, c in zip(split, langs) if c == lang for w in words if w not in cache})
                     for at in range(0, len(new), 1 << 14):
@@ -366,7 +354,9 @@ def quality(docs: DataFrame, carry: list[str] | None = None, text_col: str = "te
     for codes in blocks:
         name = F.coalesce(docs[lang_col].cast("string"), F.lit(""))
         part = docs if len(blocks) == 1 else docs.where(name.isin(list(codes)))
-        rows = land(scored(part, train(part, text_col, lang_col, codes), codes, carry or docs.columns, text_col, lang_col), "quality")
+        held = docs.sparkSession.sparkContext.broadcast(train(part, text_col, lang_col, codes))
+        rows = land(scored(part, held, codes, carry or docs.columns, text_col, lang_col), "quality")
+        held.unpersist()  # the scores are written; executors need not keep the model
         found = found.unionByName(rows) if found is not None else rows
     return judged(found, land(bands(found), "bands"))
 
