@@ -37,12 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargoline.llm.classifier import remainder
-from cargoline.llm.common import land, table
+from cargoline.llm.common import blocks_of, land, table
 
 HEAVY_BITS, SLOT_BITS, BLOCK = 19, 20, 4096
 SPELL_BITS, REACHES, SPELL_PRIOR = 20, (1, 2, 3), 2.0  # slots and context bytes of the spelling tables
 SEGMENT, RATE, PRIOR = 1024, 0.03, 2.0
 GATES, INPUTS = 9, 3
+TEXT_BYTES = 1 << 19  # text that is coded at a time; its decisions take some 180 bytes a byte
 FIRST_WEIGHTS = np.tile([0.8, 0.1, 0.1], (GATES, 1))
 END = b""  # the end token; no word is empty
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -288,8 +289,8 @@ def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
 
 def numbered(batch: pa.RecordBatch, numbers: dict[bytes, int], escape: int) -> Iterator[tuple[list[list[bytes]], np.ndarray, np.ndarray]]:
     """Tokens, token numbers and document numbers of some rows at a time."""
-    for lo in range(0, batch.num_rows, 512):
-        lists = [split_tokens(t.as_py()) for t in batch.slice(lo, 512)["text"]]
+    for lo, n in blocks_of(batch["text"], TEXT_BYTES):
+        lists = [split_tokens(t.as_py()) for t in batch.slice(lo, n)["text"]]
         flat = [numbers.get(t, escape) for tokens in lists for t in tokens]
         docs = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         yield lists, np.array(flat, np.int64), docs
@@ -383,7 +384,7 @@ def scored_parts(docs: DataFrame, model: dict) -> DataFrame:
                 base = np.bincount(of, np.where(heavy, np.log10(c.counts[flat] + 1), 0.0), len(lists))
                 seen = np.bincount(of, heavy, len(lists)).astype(np.int64)
                 light = [Counter(t for t in tokens if t not in numbers) for tokens in lists]
-                if len(known) > 1 << 17:
+                if len(known) > 1 << 16:
                     known.clear()
                 new = list({t for x in light for t in x if t not in known})
                 for lo in range(0, len(new), 1 << 13):
@@ -422,7 +423,9 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, folds) == held).alias("held_out"), F.col(text_col).alias("text"))
     model, counts = train(rows)
     n, v, tokens = model["n"], model["v"], model["light_tokens"]
-    parts = scored_parts(rows, model)
+    parts = land(scored_parts(rows, model), "score-parts")
+    for held in (model["code"], model["tables"], model["spelling"]):
+        held.unpersist()  # the parts are written; executors need not keep the model
     # Sums of a text meet no count: each goes by its own row, not by one null.
     key = F.coalesce("h", F.col("row"))
     known = counts.where(F.col("c") * (1 << HEAVY_BITS) < n).select("h", "c")
