@@ -42,7 +42,7 @@ SINGLES, FAR, DIGITS, LANGS = 1900, 1 << 18, (1 << SYMBOL_BITS) - FIRST, 256
 # shouting lie below; passages in another language, which are no fault, above.
 BELOW, ABOVE, LEAST_SCALE = 4.5, 12.0, 0.05
 WORDS_HELD = 1 << 17  # distinct words a task holds before it adds up
-SCORES_HELD = 1 << 16  # scored words of a language that a task remembers
+SCORES_HELD = 1 << 17  # scored words of a language that a task remembers
 TEXT_BYTES = 1 << 20  # text that is scored at a time
 WINDOWS_HELD = 1 << 17  # windows of a text held as tuples; longer texts are only numbered
 SYMBOLS = "#*$%&|<>"
@@ -220,13 +220,27 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", codes
 # --- scoring --------------------------------------------------------------------
 
 
+def placed(model: dict) -> dict:
+    """``model`` with the place of every hash in its sorted array (-1: absent): 4 MB a table, made once a task."""
+    out = {}
+    for key, (hashes, values) in model.items():
+        place = np.full(1 << HASH_BITS, -1, np.int32)
+        place[hashes] = np.arange(len(hashes), dtype=np.int32)
+        out[key] = (hashes, values, place)
+    return out
+
+
 def _probe(model: dict, key: int, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which grams the sorted hash arrays ``{order or -order of a context: (hashes, values)}`` hold, and their values."""
+    """Which grams the sorted hash arrays ``{order or -order of a context: (hashes, values)}`` hold, and their
+    values; found by place in a ``placed`` model, else by binary search."""
     if key not in model:
         return np.zeros(len(gram), bool), np.zeros(len(gram), np.float32)
-    hashes, values = model[key]
-    slot = slots(gram, HASH_BITS).astype(np.int32)
-    at = np.minimum(np.searchsorted(hashes, slot), len(hashes) - 1)
+    hashes, values, *place = model[key]
+    slot = slots(gram, HASH_BITS)
+    if place:
+        at = place[0][slot]
+        return at >= 0, values[at]
+    at = np.minimum(np.searchsorted(hashes, slot.astype(np.int32)), len(hashes) - 1)
     return hashes[at] == slot, values[at]
 
 
@@ -282,6 +296,7 @@ def scored(docs: DataFrame, held, codes: dict[str, int], carry: list[str], text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, dict[bytes, tuple[float, int]]] = {}
+        model = placed(held.value)
         for whole in batches:
             for lo, n in blocks_of(whole["text"], TEXT_BYTES):
                 b = whole.slice(lo, n)
@@ -295,7 +310,7 @@ def scored(docs: DataFrame, held, codes: dict[str, int], carry: list[str], text_
                     new = list({w for words, c in zip(split, langs) if c == lang for w in words if w not in cache})
                     for at in range(0, len(new), 1 << 14):
                         part = new[at : at + (1 << 14)]
-                        cache.update(zip(part, zip(*(x.tolist() for x in log_probabilities(part, lang, held.value)))))
+                        cache.update(zip(part, zip(*(x.tolist() for x in log_probabilities(part, lang, model)))))
                 stats, surprise = [], []
                 for text, words, lang in zip(full, split, langs):
                     found = list(map(known[lang].__getitem__, words))
