@@ -17,36 +17,53 @@ no shuffle, and a lost task only repeats its own partition.
 
 from __future__ import annotations
 
+import itertools
 import re
-import struct
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import table, text_key
+from cargoline.llm.common import blocks_of, table, text_key
 
 WINDOW, END_ID = 2048, 1
 SENTENCE_PENALTY, GRID_PENALTY, GRID, WINDOW_COST = 8, 40, 64, 32
 FLUSH_WINDOWS, MOST_WINDOWS = 256, 1024
-WORDS_HELD = 1 << 19
-MARKED_WORD = re.compile(r"([!-&(-/:-@\[-`{-~]*)([a-z]+)([!-&(-/:-@\[-`{-~]*)")  # ASCII letters between marks, no apostrophe
+WORDS_HELD, CORES_HELD = 1 << 19, 1 << 20
+BLOCK_BYTES = 1 << 20  # texts that are tokenized together
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation without the apostrophe
+LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: Fixed value: the pattern of words in vocabularies of this kind.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-SENTENCE_END = re.compile(r"[.!?]+(?=\s)|\n")
 PIECES = "doc_id long, tkey long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-class WordIds(dict):
-    """Little-endian 32-bit ids of a word's tokens; at most ``WORDS_HELD`` words are remembered.
+class Numbers(dict):
+    """Numbers of words in the order they are met; ``new`` are those met since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
+class WordIds:
+    """Token ids of words, which are numbered as they are met; about ``WORDS_HELD`` are remembered.
 
     White space separates tokens in such a vocabulary, so a text's ids are its
-    words' ids in order.  Case is folded, and letters are separated from marks, so
-    an ASCII word shares the work of its letters with its other spellings.  Special tokens'
-    strings are their ids, as in the file.  Other kinds of vocabularies are refused.
+    words' ids in order.  Case is folded, and a run of letters is separated from marks and
+    ends with an end-of-word token, so a word between marks shares the work of its letters
+    with its other spellings, and many such runs are tokenized as one text.  Other words go
+    to the tokenizer one by one.  Special tokens' strings are their ids, as in the
+    file.  Other kinds of vocabularies are refused.
     """
 
     def __init__(self, path: str | None):
@@ -55,31 +72,107 @@ class WordIds(dict):
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        super().__init__()
         path = path or public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", ())]
         cut = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
-        if "Lowercase" not in steps or cut.get("pattern", {}).get("Regex") != WORD_PATTERN or cut["behavior"] != "Removed" or not cut["invert"]:
-            raise ValueError("not a lower-case vocabulary of words without white space")
+        suffix = spec["model"].get("end_of_word_suffix")
         self.special = [x["content"] for x in spec["added_tokens"]]
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= WORDS_HELD:
+        if (
+            "Lowercase" not in steps or cut.get("pattern", {}).get("Regex") != WORD_PATTERN or cut["behavior"] != "Removed" or not cut["invert"]
+            or not suffix or not all(any(c in MARKS for c in x) for x in self.special)
+        ):
+            raise ValueError("not a lower-case vocabulary of words without white space")
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.cores: dict[str, list[int]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers = Numbers()
+        self.pool = np.zeros(1 << 20, np.uint32)  # ids of all words, one after the other
+        self.start = np.zeros(1 << 18, np.int64)
+        self.length = np.zeros(1 << 18, np.int64)
+        self.stops = np.zeros(1 << 18, bool)  # a sentence may end behind the word
+        self.used = 0
+
+    def ids(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def learn_cores(self, cores: list[str]) -> None:
+        """Runs of letters, tokenized as one text."""
+        if not cores:
+            return
+        if len(self.cores) + len(cores) > CORES_HELD:
+            self.cores.clear()
+        got = self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids
+        ends = (np.flatnonzero(self.closes[got]) + 1).tolist()
+        if len(ends) != len(cores):
+            raise ValueError("a run of letters does not end with one end-of-word token")
+        at = 0
+        for core, end in zip(cores, ends):
+            self.cores[core] = got[at:end]
+            at = end
+
+    def learn(self, words: list[str]) -> None:
+        """Takes up the words that were numbered last."""
+        text = " ".join(words)
+        special = any(x in text for x in self.special)
+        low = text.lower().split(" ")
+        if len(low) != len(words):  # never with one space between words
+            low = [w.lower() for w in words]
+        cores = [x.strip(MARKS) for x in low]
+        new = set(cores).difference(self.cores)
+        self.learn_cores([x for x in new if LETTERS.fullmatch(x)])
+        held, found = self.cores, []
+        for word, whole, core in zip(words, low, cores):
+            ids = held.get(core)
+            if special and any(x in word for x in self.special):
+                ids = self.ids(word)
+            elif ids is None:
+                ids = self.ids(whole if whole.isascii() else word)
+            elif len(core) != len(whole):
+                at = whole.find(core)
+                ids = self.marks(whole[:at]) + ids + self.marks(whole[at + len(core) :])
+            found.append(ids)
+        self.put(words, found)
+
+    def marks(self, run: str) -> list[int]:
+        if not run:
+            return []
+        ids = self.cores.get(run)
+        if ids is None:
+            ids = self.cores[run] = self.ids(run)
+        return ids
+
+    def put(self, words: list[str], found: list[list[int]]) -> None:
+        n = len(words)
+        first = len(self.numbers) - n
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+        lengths = np.fromiter(map(len, found), np.int64, n)
+        self.pool = grown(self.pool, self.used + len(flat))
+        self.start, self.length, self.stops = (grown(x, first + n) for x in (self.start, self.length, self.stops))
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.start[first : first + n] = self.used + np.cumsum(lengths) - lengths
+        self.length[first : first + n] = lengths
+        self.stops[first : first + n] = [w.endswith((".", "!", "?", "\n")) for w in words]
+        self.used += len(flat)
+
+    def numbered(self, words: list[str]) -> np.ndarray:
+        if len(self.numbers) > WORDS_HELD:
             self.clear()
-        value = None
-        if word.isascii() and not any(x in word for x in self.special):
-            low = word.lower()
-            m = MARKED_WORD.fullmatch(low)
-            if m and m[2] != word:
-                value = b"".join([self[part] for part in m.groups() if part])
-        if value is None:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            value = struct.pack(f"<{len(ids)}I", *ids)
-        self[word] = value
-        return value
+        at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        if self.numbers.new:
+            self.learn(self.numbers.new)
+            self.numbers.new = []
+        return at
+
+
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    return values if size <= len(values) else np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
 
 
 def word_ids(path: str | None) -> WordIds:
@@ -92,31 +185,46 @@ def word_ids(path: str | None) -> WordIds:
     return held[path]
 
 
-def sentences(text: str) -> Iterator[str]:
-    at = 0
-    for m in SENTENCE_END.finditer(text):
-        yield text[at : m.end()]
-        at = m.end()
-    if at < len(text):
-        yield text[at:]
-
-
-def document_tokens(text: str, words: WordIds, end_id: int) -> tuple[bytes, list[tuple[int, int]]]:
-    """The ids, and the cuts ``(tokens before, penalty)`` up to the document's end."""
-    parts, cuts, at = [], [], 0
-    for s in sentences(text):
-        ids = b"".join(map(words.__getitem__, s.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
-        parts.append(ids)
-        n = len(ids) // 4
-        if n:
-            cuts += [(at + g, GRID_PENALTY) for g in range(GRID, n, GRID)]
-            at += n
-            cuts.append((at, SENTENCE_PENALTY))
-    parts.append(end_id.to_bytes(4, "little"))
-    if cuts and cuts[-1][0] == at:  # cutting just before the end id is no better than after it
-        cuts.pop()
-    cuts.append((at + 1, 0))
-    return b"".join(parts), cuts
+def block_tokens(texts: list[str], words: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the texts, each with its end id; where each text ends; cuts and their penalties by position."""
+    flat: list[str] = []
+    sizes = np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        part = text.replace("\n", " \n ").replace("\t", " ").replace("\r", " ").split(" ")
+        sizes[k] = len(part)
+        flat += part
+    at = words.numbered(flat)
+    lengths = words.length[at]
+    upto = np.cumsum(lengths)  # tokens up to each word's end, without end ids
+    last = np.cumsum(sizes) - 1
+    text_of = np.repeat(np.arange(len(texts)), sizes)
+    ends = upto[last] + np.arange(1, len(texts) + 1)  # with the end ids
+    place = np.arange(upto[-1]) + np.repeat(words.start[at] - (upto - lengths), lengths)
+    ids = np.full(int(ends[-1]), end_id, np.uint32)
+    body = np.ones(len(ids), bool)
+    body[ends - 1] = False
+    ids[body] = words.pool[place]
+
+    stop = np.zeros(len(ids) + 1, bool)
+    stop[(upto + text_of)[words.stops[at]]] = True
+    grid = np.flatnonzero(stop | text_ends(ends, len(ids)))
+    heads = np.concatenate(([0], grid[:-1]))
+    inner = np.maximum(grid - heads - 1, 0) // GRID  # cuts inside a sentence
+    steps = np.arange(1, int(inner.sum()) + 1) - np.repeat(np.cumsum(inner) - inner, inner)
+    kind = np.zeros(len(ids) + 1, np.int8)
+    kind[np.repeat(heads, inner) + GRID * steps] = 1
+    kind[stop] = 2
+    kind[ends - 1] = 0  # cutting just before the end id is no better than after it
+    kind[0] = 0
+    kind[ends] = 3
+    cuts = np.flatnonzero(kind)
+    return ids, ends, cuts, np.array([0, GRID_PENALTY, SENTENCE_PENALTY, 0])[kind[cuts]]
+
+
+def text_ends(ends: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size + 1, bool)
+    out[ends] = True
+    return out
 
 
 def best_cuts(cuts: list[tuple[int, int]], base: int, window: int) -> tuple[list[int], list[float], int]:
@@ -159,10 +267,14 @@ class Packer:
         self.base = self.end = 0
         self.limit = FLUSH_WINDOWS * window
 
-    def add(self, doc_id, tkey, ids: bytes, cuts: list[tuple[int, int]]) -> Iterator[tuple]:
-        self.docs.append((doc_id, tkey, self.end, ids))
-        self.cuts += [(self.end + c, p) for c, p in cuts]
-        self.end += len(ids) // 4
+    def add(self, keys: list[tuple], ids: np.ndarray, ends: np.ndarray, cuts: np.ndarray, penalties: np.ndarray) -> Iterator[tuple]:
+        """A block of documents, each with a key ``(id, tkey)``."""
+        data, begin = ids.astype("<u4").tobytes(), 0
+        for key, end in zip(keys, ends.tolist()):
+            self.docs.append((*key, self.end + begin, data[4 * begin : 4 * end]))
+            begin = end
+        self.cuts += zip((cuts + self.end).tolist(), penalties.tolist())
+        self.end += len(ids)
         if self.end - self.base >= self.limit:
             yield from self.flush(False)
 
@@ -229,9 +341,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
             return out
 
         for b in batches:
-            for doc_id, tkey, text in zip(b["id"], b["tkey"], b["text"]):
-                ids, cuts = document_tokens(text.as_py() or "", words, end_id)
-                rows.extend(packer.add(doc_id.as_py(), tkey.as_py(), ids, cuts))
+            for lo, n in blocks_of(b["text"], BLOCK_BYTES):
+                part = b.slice(lo, n)
+                keys = list(zip(part["id"].to_pylist(), part["tkey"].to_pylist()))
+                rows.extend(packer.add(keys, *block_tokens([t or "" for t in part["text"].to_pylist()], words, end_id)))
                 if len(rows) >= 2048:
                     yield batch()
         rows.extend(packer.flush(True))
