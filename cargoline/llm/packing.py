@@ -88,7 +88,7 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.cores: dict[str, list[int]] = {}
+        self.cores: dict[str, bytes] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -97,10 +97,11 @@ class WordIds:
         self.start = np.zeros(1 << 18, np.int64)
         self.length = np.zeros(1 << 18, np.int64)
         self.stops = np.zeros(1 << 18, bool)  # a sentence may end behind the word
+        self.marked = np.zeros(1 << 18, bool)  # its last character may be part of a run of marks
         self.used = 0
 
-    def ids(self, word: str) -> list[int]:
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+    def ids(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn_cores(self, cores: list[str]) -> None:
         """Runs of letters, tokenized as one text."""
@@ -108,13 +109,13 @@ class WordIds:
             return
         if len(self.cores) + len(cores) > CORES_HELD:
             self.cores.clear()
-        got = self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids
-        ends = (np.flatnonzero(self.closes[got]) + 1).tolist()
+        got = np.array(self.tokenizer.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(self.closes[got]) + 4).tolist()
         if len(ends) != len(cores):
             raise ValueError("a run of letters does not end with one end-of-word token")
-        at = 0
+        data, at = got.tobytes(), 0
         for core, end in zip(cores, ends):
-            self.cores[core] = got[at:end]
+            self.cores[core] = data[at:end]
             at = end
 
     def learn(self, words: list[str]) -> None:
@@ -127,38 +128,37 @@ class WordIds:
         cores = [x.strip(MARKS) for x in low]
         new = set(cores).difference(self.cores)
         self.learn_cores([x for x in new if LETTERS.fullmatch(x)])
-        held, found = self.cores, []
-        for word, whole, core in zip(words, low, cores):
-            ids = held.get(core)
+        found = list(map(self.cores.get, cores))
+        for k, (word, whole, core) in enumerate(zip(words, low, cores)):
             if special and any(x in word for x in self.special):
-                ids = self.ids(word)
-            elif ids is None:
-                ids = self.ids(whole if whole.isascii() else word)
+                found[k] = self.ids(word)
+            elif found[k] is None:
+                found[k] = self.ids(whole if whole.isascii() else word)
             elif len(core) != len(whole):
                 at = whole.find(core)
-                ids = self.marks(whole[:at]) + ids + self.marks(whole[at + len(core) :])
-            found.append(ids)
+                found[k] = self.marks(whole[:at]) + found[k] + self.marks(whole[at + len(core) :])
         self.put(words, found)
 
-    def marks(self, run: str) -> list[int]:
+    def marks(self, run: str) -> bytes:
         if not run:
-            return []
+            return b""
         ids = self.cores.get(run)
         if ids is None:
             ids = self.cores[run] = self.ids(run)
         return ids
 
-    def put(self, words: list[str], found: list[list[int]]) -> None:
+    def put(self, words: list[str], found: list[bytes]) -> None:
         n = len(words)
         first = len(self.numbers) - n
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
-        lengths = np.fromiter(map(len, found), np.int64, n)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter(map(len, found), np.int64, n) // 4
         self.pool = grown(self.pool, self.used + len(flat))
-        self.start, self.length, self.stops = (grown(x, first + n) for x in (self.start, self.length, self.stops))
+        self.start, self.length, self.stops, self.marked = (grown(x, first + n) for x in (self.start, self.length, self.stops, self.marked))
         self.pool[self.used : self.used + len(flat)] = flat
         self.start[first : first + n] = self.used + np.cumsum(lengths) - lengths
         self.length[first : first + n] = lengths
         self.stops[first : first + n] = [w.endswith((".", "!", "?", "\n")) for w in words]
+        self.marked[first : first + n] = [not (w[-1:].isalnum() or w in ("", "\n")) for w in words]
         self.used += len(flat)
 
     def numbered(self, words: list[str]) -> np.ndarray:
@@ -170,6 +170,11 @@ class WordIds:
             self.numbers.new = []
         return at
 
+    def separate(self, at: np.ndarray) -> np.ndarray:
+        """Whether the second of each two neighbouring words is a comma or full stop behind a mark."""
+        closing = np.isin(at, [n for n in map(self.numbers.get, (",", ".")) if n is not None])
+        return closing[1:] & self.marked[at[:-1]]
+
 
 def grown(values: np.ndarray, size: int) -> np.ndarray:
     return values if size <= len(values) else np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
@@ -185,15 +190,25 @@ def word_ids(path: str | None) -> WordIds:
     return held[path]
 
 
+def split(text: str, marks: bool) -> list[str]:
+    """Words between white space, line ends, and with ``marks`` also the comma or full stop that closes a word."""
+    text = text.replace("\n", " \n ").replace("\t", " ").replace("\r", " ")
+    if marks:
+        text = text.replace(", ", " , ").replace(". ", " . ")
+    return text.split(" ")
+
+
 def block_tokens(texts: list[str], words: WordIds, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids of the texts, each with its end id; where each text ends; cuts and their penalties by position."""
-    flat: list[str] = []
-    sizes = np.zeros(len(texts), np.int64)
-    for k, text in enumerate(texts):
-        part = text.replace("\n", " \n ").replace("\t", " ").replace("\r", " ").split(" ")
-        sizes[k] = len(part)
-        flat += part
-    at = words.numbered(flat)
+    parts = [split(text, True) for text in texts]
+    at, sizes = words.numbered(list(itertools.chain.from_iterable(parts))), np.array(list(map(len, parts)), np.int64)
+    # A comma or full stop behind another mark belongs to its run: such texts are split again at white space alone.
+    run = words.separate(at)
+    if run.any():
+        whole = np.unique(np.repeat(np.arange(len(texts)), sizes)[1:][run])
+        for k in whole.tolist():
+            parts[k] = split(texts[k], False)
+        at, sizes = words.numbered(list(itertools.chain.from_iterable(parts))), np.array(list(map(len, parts)), np.int64)
     lengths = words.length[at]
     upto = np.cumsum(lengths)  # tokens up to each word's end, without end ids
     last = np.cumsum(sizes) - 1

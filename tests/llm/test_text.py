@@ -76,6 +76,7 @@ def test_block_ids_equal_the_tokenizer():
         "", "  ", "<|endoftext|>x word <|startoftext|> a<|endoftext|>", "\n\nfoo.\n\nbar!\tbaz?\r\nqux", "x" * 5000, "Stra\u00dfe, STRASSE! \u1e9e",
         "It's O'NEIL'S don't 12.5 \u00c0\u00c9\u00d7\u00f7 \ufb01 \u03a3\u03b1\u03c2 \u0130x \u212a \u212b e\u0301 ...\u00e9... --- a.b.c 'tis '' 's. $$'ll x\x00y \x0b\x0c",
         "~\u0303a a~\u0303 .\u0338 \u2260 a\u226eb \u1100\u1161", "same same Same, (same) same.", "",
+        'Said ("yes), no... or.. so., it. , . x," and 12, 3. it\'s, a', ", , . a", "a). , b",
     ]
     for _ in range(2):  # met for the first time, and known
         ids, ends, cuts, penalties = packing.block_tokens(texts, words, 1)
