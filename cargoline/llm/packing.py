@@ -33,7 +33,7 @@ from cargoline.llm.common import blocks_of, table, text_key
 WINDOW, END_ID = 2048, 1
 SENTENCE_PENALTY, GRID_PENALTY, GRID, WINDOW_COST = 8, 40, 64, 32
 FLUSH_WINDOWS, MOST_WINDOWS = 256, 1024
-WORDS_HELD, CORES_HELD = 1 << 19, 1 << 20
+WORDS_HELD, CORES_HELD = 1 << 20, 1 << 20
 BLOCK_BYTES = 1 << 20  # texts that are tokenized together
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation without the apostrophe
 LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
