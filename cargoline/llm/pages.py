@@ -41,11 +41,16 @@ BLOCKS = set(
 UNREAD = set("audio button canvas datalist embed frameset head iframe math noframes noscript object script select style svg template textarea title video".split())
 BOILER = set("aside dialog footer form menu nav".split())
 BOILER_ROLES = set("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
-BOILER_WORDS = set(
-    "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr masthead"
-    " menu modal nav navbar navigation newsletter notice pagination popup promo promoted related share sharing sidebar social sponsor sponsored"
-    " subscribe toolbar widget".split()
+BOILER_NAMES = set(
+    "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr masthead"
+    " menu modal nav navbar navigation newsletter notice pagination popup promo promoted related respond responses share sharing sidebar social sponsor"
+    " sponsored subscribe toolbar widget".split()
 )
+NAME_ENDS = set(  # what follows the word in the name of a page part
+    "area bar block box button buttons center column container content copy cta dialog feed form group header icon icons inner item items label left links list"
+    " main menu message notice overlay panel post posts prompt right row section signup slot stories thread title top unit widget widgets wrap wrapper zone".split()
+)
+NAME_NEGATIONS = set("disable enable from has have hide layout no non not show supports with without".split())
 OWN_END = {"li": {"ul", "ol", "menu"}, "p": set(), "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 # --- end of fixed values ---
 
@@ -54,7 +59,24 @@ SAME_SHARE = 0.6
 REACH, SEVERAL = 3, 3  # neighbours on each side; so many pages of other content make a template
 TAIL = re.compile(r"<[A-Za-z/!?][^<>]*$")  # a tag cut off by the page's end
 SPACE = re.compile(r"\s+")
-TOKENS = re.compile(r"[a-z]+")
+PARTS = re.compile(r"[a-z]+|[0-9]+")
+
+
+def names_boiler(names: str) -> bool:
+    """Whether a class or id attribute names a page part that is never article text.
+
+    The whole name counts, not any part of it: ``footer``, ``site-footer``, ``share-buttons`` and ``ad-2``
+    do, ``has-sidebar``, ``no-comments`` and ``share-price`` do not.
+    """
+    for name in names.lower().split():
+        parts = [x for x in PARTS.findall(name) if not x.isdigit()]
+        if not parts or NAME_NEGATIONS.intersection(parts[:-1]):
+            continue
+        while len(parts) > 1 and parts[-1] in NAME_ENDS and parts[-1] not in BOILER_NAMES:
+            parts.pop()
+        if parts[-1] in BOILER_NAMES:
+            return True
+    return False
 
 
 class Lines(HTMLParser):
@@ -92,9 +114,8 @@ class Lines(HTMLParser):
         if self.state == DROPPED or tag in UNREAD or tag in BOILER:
             return DROPPED
         named = {k: (v or "").lower() for k, v in attrs}
-        marked = set(TOKENS.findall(named.get("class", "") + " " + named.get("id", "")))
         hidden = "hidden" in named or named.get("aria-hidden") == "true"
-        if hidden or named.get("role") in BOILER_ROLES or marked & BOILER_WORDS and tag not in ("html", "body", "article", "main"):
+        if hidden or named.get("role") in BOILER_ROLES or tag not in ("html", "body", "article", "main") and names_boiler(named.get("class", "") + " " + named.get("id", "")):
             return DROPPED
         if tag == "header":
             return self.state if self.state == ARTICLE else DROPPED
@@ -236,8 +257,16 @@ class Host:
         return done
 
 
-def digest_of(lines: list[tuple[str, int]]) -> bytes:
-    return hashlib.blake2b("\n".join(f"{kind}{t}" for t, kind in lines).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+def packed(lines: list[tuple[str, int]]) -> tuple[bytes, bytes]:
+    """Digest and compressed bytes of a page's lines; no line holds a line end."""
+    data = "\n".join(f"{kind}{t}" for t, kind in lines).encode("utf-8", "surrogatepass")
+    size = len(data).to_bytes(8, "little")
+    return hashlib.blake2b(data, digest_size=16).digest(), size + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked(value: bytes) -> list[tuple[str, int]]:
+    data = pa.decompress(value[8:], int.from_bytes(value[:8], "little"), codec="zstd", asbytes=True)
+    return [(x[1:], int(x[0])) for x in data.decode("utf-8", "surrogatepass").split("\n") if x]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -249,20 +278,29 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     where = F.regexp_extract(F.coalesce(F.lower(url_col), F.lit("")), r"^(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)", 1)
     path = F.regexp_replace(F.coalesce(F.col(url_col), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*|[?#].*$", "")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), where.alias("host"), path.alias("path"))
-    spread = [F.col("host"), F.col("path"), F.col("url"), F.col("page_id"), F.xxhash64("html")]
-    rows = rows.repartitionByRange(*spread).sortWithinPartitions(*spread)
-
-    rows = rows.select("page_id", "url", "html", "host")
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), where.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [packed(page_lines(html.as_py())) for html in b["html"]]
+            yield pa.RecordBatch.from_arrays(
+                [*(b[c] for c in ("page_id", "url", "host", "path")), *(pa.array([x[k] for x in got], pa.binary()) for k in (0, 1))],
+                ["page_id", "url", "host", "path", "digest", "lines"],
+            )
+
+    # Only a page's packed lines are shuffled; the markup is parsed again for the sample that sets the ranges.
+    rows = rows.mapInArrow(parse, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, path string, digest binary, lines binary")
+    spread = ["host", "path", "url", "page_id", "digest"]
+    rows = rows.repartitionByRange(*spread).sortWithinPartitions(*spread).select("page_id", "url", "host", "digest", "lines")
     member = f"struct<page_id:{kinds['page_id']},url:{kinds['url']}>"
     # Rows of finished pages have no part; the others hold the content of an edge page and its members.
-    schema = f"text string, host string, part int, seq long, lines array<string>, kinds array<int>, members array<{member}>"
+    schema = f"text string, host string, part int, seq long, digest binary, lines binary, members array<{member}>"
 
     def batch(finished: list[tuple], edges: list[tuple], member_type) -> pa.RecordBatch:
         kind = pa.schema([
-            ("text", pa.string()), ("host", pa.string()), ("part", pa.int32()), ("seq", pa.int64()), ("lines", pa.list_(pa.string())),
-            ("kinds", pa.list_(pa.int32())), ("members", pa.list_(member_type)),
+            ("text", pa.string()), ("host", pa.string()), ("part", pa.int32()), ("seq", pa.int64()),
+            ("digest", pa.binary()), ("lines", pa.binary()), ("members", pa.list_(member_type)),
         ])
         got = [(text, None, None, None, None, None, members) for text, members in finished] + [(None, *e) for e in edges]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*got), kind)], schema=kind)
@@ -290,7 +328,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             if not ended:
                 edge.update({x.seq: x for x in host.recent.values()})
             rows = [
-                (name, part, p.seq, [t for t, _ in p.lines], [k for _, k in p.lines], p.members if at in unsettled else [])
+                (name, part, p.seq, *packed(p.lines), p.members if at in unsettled else [])
                 for at, p in edge.items()
             ]
             edge.clear(), unsettled.clear()
@@ -298,7 +336,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
         for b in batches:
             kind = kind or pa.struct([("page_id", b["page_id"].type), ("url", b["url"].type)])
-            for page_id, url, html, at in zip(b["page_id"], b["url"], b["html"], b["host"]):
+            for page_id, url, at, digest, lines in zip(b["page_id"], b["url"], b["host"], b["digest"], b["lines"]):
                 at = at.as_py()
                 if at != name:
                     if name is not None:
@@ -307,8 +345,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                             yield batch([], rest, kind)
                         inner = True
                     name, host = at, Host()
-                lines = page_lines(html.as_py())
-                give(host.add(seq, lines, digest_of(lines), [(page_id.as_py(), url.as_py())]), False)
+                give(host.add(seq, unpacked(lines.as_py()), digest.as_py(), [(page_id.as_py(), url.as_py())]), False)
                 seq += 1
                 if len(out) >= 1024:
                     yield batch(out, [], kind)
@@ -327,9 +364,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 if r["host"] != name:
                     out += [(p.text(), p.members) for p in host.pending.values()]
                     name, host = r["host"], Host()
-                lines = list(zip(r["lines"], r["kinds"]))
                 members = [(m["page_id"], m["url"]) for m in r["members"]]
-                out += [(p.text(), p.members) for p in host.add(r["seq"], lines, digest_of(lines), members)]
+                out += [(p.text(), p.members) for p in host.add(r["seq"], unpacked(r["lines"]), r["digest"], members)]
                 if len(out) >= 1024:
                     yield batch(out, [], kind)
                     out.clear()
@@ -337,7 +373,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         if out:
             yield batch(out, [], kind)
 
-    once = land(rows.mapInArrow(run, schema), "pages")
+    once = land(rows.mapInArrow(run, schema), "pages", "zstd")
     edges = once.where(F.col("part").isNotNull()).repartition("host").sortWithinPartitions("host", "part", "seq")
     texts = once.where(F.col("part").isNull()).unionByName(edges.mapInArrow(rest, schema))
     return texts.select(F.explode("members").alias("m"), "text").select("m.page_id", "m.url", "text")

@@ -44,6 +44,21 @@ def test_markup_decides(spark):
     assert pages.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_whole_class_names_decide(spark):
+    kept = ['class="no-comments post"', 'id="content" class="has-sidebar"', 'class="title share-price"', 'class="layout-sidebar-left"', 'class="commentary"', 'class="notice-of-intent"']
+    gone = ['class=advertising', 'class="user-responses"', 'class="x site-footer"', 'id="share-buttons"', 'class="ad-2"', 'class="cookie_consent-dialog"', 'id=related-posts', 'class="Main-Nav"']
+    bodies = [(f"<div {x}><p>Body {i}</p></div>", f"Body {i}") for i, x in enumerate(kept)] + [(f"<div {x}><p>Gone</p></div><p>Rest</p>", "Rest") for x in gone]
+    rows = [(i, f"http://h{i}/a", page(body)) for i, (body, _) in enumerate(bodies)]
+    got = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in got.collect()} == {i: want for i, (_, want) in enumerate(bodies)}
+
+
+def test_packed_lines_come_back():
+    for lines in ([], [("one", 1), ("2 two \u00e9\udc80", 2)], [("x" * 10**6, 1)] * 3):
+        digest, data = pages.packed(lines)
+        assert pages.unpacked(data) == lines and digest == pages.packed(list(lines))[0]
+
+
 def test_shared_template_lines_go_where_markup_is_silent(spark):
     one = "<div>Site name</div><div>First story, long enough to count.</div><div>Legal line</div>"
     two = "<div>Site name</div><div>Another story that differs a lot.</div><div>Legal line</div>"
