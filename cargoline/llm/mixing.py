@@ -7,7 +7,7 @@ with a dictionary transform, it is coded as binary decisions:
   2^19 of them) and one escape are the leaves of a Huffman tree; a token is
   the decisions on its path.  Three predictors give each decision a probability: the
   node's own counts, and two tables of counts hashed by node and the last one
-  or two tokens.  Their logits are mixed by weights, of which a gate (how often
+  or two tokens, each smoothed with the predictor before it.  Their logits are mixed by weights, of which a gate (how often
   each hashed context was seen) picks the set; after every decision
   the set is refined by its error, afresh in every ``SEGMENT`` decisions, from
   weights learned over all training texts.
@@ -16,9 +16,10 @@ with a dictionary transform, it is coded as binary decisions:
   hashed byte contexts.  Both are distributions, so the score is one.
 
 What is gathered grows with the corpus: token counts (a table that is joined,
-never broadcast) and, of fixed size per task, blocks of the hashed tables, both
-summed by Spark.  Broadcast are the frequent tokens and the summed tables, whose
-sizes are fixed above.
+never broadcast) and, of bounded size per task, blocks of the hashed tables, both
+summed by Spark.  The context tables have ``SLOTS_A_TOKEN`` slots for each training
+token, up to 2^``MOST_SLOT_BITS``; beyond that contexts share slots more and more.
+Broadcast are the frequent tokens and the summed tables, whose sizes are bounded above.
 """
 
 from __future__ import annotations
@@ -39,9 +40,10 @@ from pyspark.sql import functions as F
 from cargoline.llm.classifier import remainder
 from cargoline.llm.common import blocks_of, land, table
 
-HEAVY_BITS, SLOT_BITS, BLOCK = 19, 20, 4096
+HEAVY_BITS, BLOCK = 19, 4096
+LEAST_SLOT_BITS, MOST_SLOT_BITS, SLOTS_A_TOKEN = 16, 23, 8  # of the context tables
 SPELL_BITS, REACHES, SPELL_PRIOR = 20, (1, 2, 3), 2.0  # slots and context bytes of the spelling tables
-SEGMENT, RATE, PRIOR = 1024, 0.03, 2.0
+SEGMENT, RATE, PRIOR = 1024, 0.03, 0.5
 GATES, INPUTS = 9, 3
 TEXT_BYTES = 1 << 19  # text that is coded at a time; its decisions take some 180 bytes a byte
 FIRST_WEIGHTS = np.tile([0.8, 0.1, 0.1], (GATES, 1))
@@ -82,9 +84,15 @@ def huffman(tokens: list[bytes], counts: list[int], escape: int) -> SimpleNamesp
         tokens=tokens, escape=n - 1, counts=np.array(counts + [0], np.float64),
         start=np.concatenate(([0], np.cumsum([len(p) for p in paths]))).astype(np.int64),
         node=np.array([d[0] for d in flat], np.int32), bit=np.array([d[1] for d in flat], np.int8), prior=share.astype(np.float32),
+        slot_bits=slot_bits(sum(counts)),
     )
 
 
+def slot_bits(tokens: int) -> int:
+    """Size of the context tables: ``SLOTS_A_TOKEN`` a training token, up to a bound that fits a worker."""
+    return min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, math.ceil(math.log2(max(1, SLOTS_A_TOKEN * tokens)))))
+
+
 def numbers_of(code: SimpleNamespace) -> dict[bytes, int]:
     return {t: i for i, t in enumerate(code.tokens)}
 
@@ -106,7 +114,7 @@ def decisions(tokens: np.ndarray, docs: np.ndarray, code: SimpleNamespace) -> tu
     for h in (one, two):
         h = np.repeat(h, lengths) + node.astype(np.uint64) * np.uint64(ODD[2])
         h ^= h >> np.uint64(31)
-        out.append((h * np.uint64(ODD[1]) >> np.uint64(64 - SLOT_BITS)).astype(np.int32))
+        out.append((h * np.uint64(ODD[1]) >> np.uint64(64 - code.slot_bits)).astype(np.int32))
     return node, code.bit[at], out[0], out[1], np.repeat(docs, lengths)
 
 
@@ -116,13 +124,15 @@ def inputs(node, bit, slot1, slot2, code: SimpleNamespace, tables, leave_out: bo
     x = np.empty((len(node), INPUTS), np.float32)
     x[:, 0] = np.log(p0 / (1 - p0))
     gate = np.zeros(len(node), np.int8)
+    p = p0  # each context's counts are smoothed with the shorter context's probability
     for k, slot in enumerate((slot1, slot2)):
         zeros, ones = tables[k][0][slot].astype(np.float32), tables[k][1][slot].astype(np.float32)
         if leave_out:  # a training text must not vouch for itself
             ones = np.maximum(ones - bit, 0)
             zeros = np.maximum(zeros - (1 - bit), 0)
-        p1, q1 = ones + PRIOR * p0, zeros + PRIOR * (1 - p0)
+        p1, q1 = ones + PRIOR * p, zeros + PRIOR * (1 - p)
         x[:, k + 1] = np.log(p1 / q1)
+        p = p1 / (p1 + q1)
         seen = ones + zeros
         gate += (3**k * ((seen > 0).astype(np.int8) + (seen > 16))).astype(np.int8)
     return np.clip(x, -12, 12), gate
@@ -247,10 +257,10 @@ def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(2 * size, np.int64) for size in sizes]
+        held = [np.zeros(2 * size, np.uint32) for size in sizes]
 
         def add(k: int, slot: np.ndarray, bit: np.ndarray) -> None:
-            held[k] += np.bincount(2 * slot.astype(np.int64) + bit, minlength=2 * sizes[k])
+            np.add.at(held[k], 2 * slot.astype(np.int64) + bit, np.uint32(1))
 
         for b in batches:
             visit(b, add)
@@ -308,6 +318,7 @@ def train(docs: DataFrame) -> tuple[dict, DataFrame]:
     stats = light.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))).first()
     types, tokens, once, twice = map(int, stats)
     code = huffman([t for t, _ in heavy], [c for _, c in heavy], tokens + 1)
+    code.slot_bits = slot_bits(n)
     held = sc.broadcast(code)
 
     def spell(b, add):
@@ -325,7 +336,7 @@ def train(docs: DataFrame) -> tuple[dict, DataFrame]:
             _, bit, slot1, slot2, _ = decisions(flat, of, c)
             add(0, slot1, bit), add(1, slot2, bit)
 
-    tables = gathered(learned, [1 << SLOT_BITS] * 2, contexts)
+    tables = gathered(learned, [1 << code.slot_bits] * 2, contexts)
     shared = sc.broadcast(tables)
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
