@@ -7,8 +7,8 @@ with a dictionary transform, it is coded as binary decisions:
   2^19 of them) and one escape are the leaves of a Huffman tree; a token is
   the decisions on its path.  Three predictors give each decision a probability: the
   node's own counts, and two tables of counts hashed by node and the last one
-  or two tokens, each smoothed with the predictor before it.  Their logits are mixed by weights, of which a gate (how often
-  each hashed context was seen) picks the set; after every decision
+  or two tokens, each smoothed with the predictor before it.  Their logits are mixed
+  by weights, of which a gate (how often each hashed context was seen) picks the set; after every decision
   the set is refined by its error, afresh in every ``SEGMENT`` decisions, from
   weights learned over all training texts.
 * a token behind the escape has its training count's share, discounted; the
@@ -249,6 +249,18 @@ def token_hash(token: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Most counts of a block are 0 or small: one byte each if they fit, compressed."""
+    wide = bool((counts > 255).any())
+    data = counts.astype("<u4" if wide else np.uint8).tobytes()
+    return bytes([wide]) + len(data).to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked_counts(value: bytes) -> np.ndarray:
+    data = pa.decompress(value[5:], int.from_bytes(value[1:5], "little"), codec="zstd", asbytes=True)
+    return np.frombuffer(data, "<u4" if value[0] else np.uint8)
+
+
 def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
     """Tables ``[(zeros, ones), ...]`` summed over all tasks.
 
@@ -268,7 +280,7 @@ def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
             parts = counts.reshape(-1, min(2 * BLOCK, len(counts)))
             for i in np.flatnonzero(parts.any(axis=1)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([i], pa.int32()), pa.array([parts[i].astype("<u4").tobytes()], pa.binary())], ["k", "i", "data"]
+                    [pa.array([k], pa.int32()), pa.array([i], pa.int32()), pa.array([packed_counts(parts[i])], pa.binary())], ["k", "i", "data"]
                 )
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,20 +291,20 @@ def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
                     if last:
                         yield block(last, sums)
                     last, sums = (k, i), 0
-                sums = np.minimum(sums + np.frombuffer(data, "<u4").astype(np.int64), 2**32 - 1)
+                sums = np.minimum(sums + unpacked_counts(data).astype(np.int64), 2**32 - 1)
         if last:
             yield block(last, sums)
 
     def block(key, sums) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([sums.astype("<u4").tobytes()], pa.binary())], ["k", "i", "data"]
+            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([packed_counts(sums)], pa.binary())], ["k", "i", "data"]
         )
 
     schema = "k int, i int, data binary"
     summed = rows.mapInArrow(run, schema).repartition("k", "i").sortWithinPartitions("k", "i").mapInArrow(total, schema)
     out = [np.zeros((size, 2), np.uint32) for size in sizes]
     for r in land(summed, "tables").toLocalIterator():  # fixed size: the tables' blocks
-        part = np.frombuffer(r.data, "<u4").reshape(-1, 2)
+        part = unpacked_counts(r.data).reshape(-1, 2)
         out[r.k][r.i * len(part) : (r.i + 1) * len(part)] = part
     return [(t[:, 0].copy(), t[:, 1].copy()) for t in out]
 
