@@ -261,6 +261,15 @@ def unpacked_counts(value: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u4" if value[0] else np.uint8)
 
 
+def packed_tables(tables) -> list[list[list[bytes]]]:
+    """Small enough to be sent to every executor; a task unpacks them for itself."""
+    return [[[packed_counts(half[lo : lo + (1 << 16)]) for lo in range(0, len(half), 1 << 16)] for half in table] for table in tables]
+
+
+def unpacked_tables(tables) -> list[list[np.ndarray]]:
+    return [[np.concatenate([unpacked_counts(x).astype(np.uint32) for x in half]) for half in table] for table in tables]
+
+
 def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
     """Tables ``[(zeros, ones), ...]`` summed over all tasks.
 
@@ -349,16 +358,17 @@ def train(docs: DataFrame) -> tuple[dict, DataFrame]:
             add(0, slot1, bit), add(1, slot2, bit)
 
     tables = gathered(learned, [1 << code.slot_bits] * 2, contexts)
-    shared = sc.broadcast(tables)
+    shared = sc.broadcast(packed_tables(tables))
+    del tables
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, sums, visits = held.value, np.zeros((GATES, INPUTS)), np.zeros(GATES)
-        numbers = numbers_of(c)
+        numbers, counted = numbers_of(c), unpacked_tables(shared.value)
         for b in batches:
             for _, flat, of in numbered(b, numbers, c.escape):
                 node, bit, slot1, slot2, at = decisions(flat, of, c)
                 if len(bit):
-                    x, gate = inputs(node, bit, slot1, slot2, c, shared.value, True)
+                    x, gate = inputs(node, bit, slot1, slot2, c, counted, True)
                     _, w, seen = mix(x, gate, bit, at, FIRST_WEIGHTS)
                     sums += (w * seen[:, :, None]).sum(0)
                     visits += seen.sum(0)
@@ -391,7 +401,7 @@ def scored_parts(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, row = code.value, TaskContext.get().partitionId() << 40
-        numbers, lists_of, known = numbers_of(c), None, {}
+        numbers, counted, known = numbers_of(c), unpacked_tables(tables.value), {}
         for b in batches:
             ids, held = b["doc_id"], b["held_out"]
             done = 0
@@ -399,7 +409,7 @@ def scored_parts(docs: DataFrame, model: dict) -> DataFrame:
                 mixed = np.zeros(len(lists))
                 node, bit, slot1, slot2, at = decisions(flat, of, c)
                 if len(bit):
-                    x, gate = inputs(node, bit, slot1, slot2, c, tables.value, False)
+                    x, gate = inputs(node, bit, slot1, slot2, c, counted, False)
                     value, _, _ = mix(x, gate, bit, at, weights)
                     mixed = np.bincount(at, value, len(lists))
                 heavy = flat != c.escape
