@@ -2,8 +2,7 @@
 
 The model is a modified Kneser-Ney model over the letters of words (order
 ``ORDER``, a word is bracketed by a start and an end symbol), one per
-language.  Its size follows alphabets, not the corpus's vocabulary, so it fits
-every task at any size:
+language:
 
 * counting: tasks count words, break the distinct ones into letter n-grams and
   sum them; Spark adds up all tasks' counts (every document counts).
@@ -12,9 +11,12 @@ every task at any size:
   and interpolated probabilities are joins and sums of DataFrames.  Characters
   from U+076C on are two symbols (three above plane 3), so no two share one, and
   languages have codes of their own (a model for every 256 of them).
-* the finished tables are stored as sorted arrays of ``HASH_BITS``-bit
-  hashes, so at most 2^20 entries a table: that bounds what is broadcast.
-  Grams that share a hash share their count-weighted mean.
+* the finished tables are stored as sorted arrays of 64-bit hashes.  The hash is a
+  bijection of the packed gram, so no two grams share an entry.  Tasks find them by binary
+  search from the longest gram down; most are found at once.
+* a broadcast model holds about ``HELD_GRAMS`` entries.  A larger model is cut by the
+  symbol before the one that is scored: all that a position looks up lies in one such part, so
+  each part scores its own positions in a pass over the texts, and the shares add up.
 
 A document passes if the mean surprise of its symbols lies within its language's
 band, whose two sides lie a number of deviations from the language's median;
@@ -29,18 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargoline.llm.common import blocks_of, land, table
 
-ORDER, SYMBOL_BITS, LANG_SHIFT, HASH_BITS = 5, 11, 55, 20
+ORDER, SYMBOL_BITS, LANG_SHIFT = 5, 11, 55
 START, END, FIRST = 1, 2, 3  # symbols; 0: none
 # Code points below SINGLES are one symbol; a symbol SINGLES marks three, those behind it lead two.
 SINGLES, FAR, DIGITS, LANGS = 1900, 1 << 18, (1 << SYMBOL_BITS) - FIRST, 256
 # Deviations below and above a language's middle that pass.  Texts of symbols and
 # shouting lie below; passages in another language, which are no fault, above.
 BELOW, ABOVE, LEAST_SCALE = 4.5, 12.0, 0.05
+HELD_GRAMS = 1 << 22  # entries of the model a task holds: 12 bytes each
 WORDS_HELD = 1 << 17  # distinct words a task holds before it adds up
 SCORES_HELD = 1 << 17  # scored words of a language that a task remembers
 TEXT_BYTES = 1 << 20  # text that is scored at a time
@@ -115,10 +118,16 @@ def suffix(gram, order: int):
     return gram & ((1 << (SYMBOL_BITS * order)) - 1) | (gram >> LANG_SHIFT << LANG_SHIFT)
 
 
-def slots(gram: np.ndarray, bits: int) -> np.ndarray:
+def context(gram, order: int):
+    """The symbols before the last one of a gram of ``order``, language kept."""
+    return (suffix(gram, order) & ((1 << LANG_SHIFT) - 1)) >> SYMBOL_BITS | (gram >> LANG_SHIFT << LANG_SHIFT)
+
+
+def hashed(gram: np.ndarray) -> np.ndarray:
+    """A 64-bit hash that no two grams share: odd factors and the shift can be undone."""
     h = gram.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
-    return (h * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)).astype(np.int64)
+    return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
 # --- counting -------------------------------------------------------------------
@@ -169,91 +178,108 @@ def _discounts(level: DataFrame) -> list[float]:
     return [min(max(d, 0.1 * i), 0.95 * i) for i, d in zip((1, 2, 3), raw)]
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", codes: dict[str, int] | None = None) -> dict:
-    """The model of all texts, learned and stored as described above.
-
-    ``codes`` are the languages' codes, at most ``LANGS`` (default: those of ``docs``).
-    """
-    if codes is None:
-        codes, *more = lang_blocks(langs_of(docs, lang_col)) or [{}]
-        if more:
-            raise ValueError(f"a model holds {LANGS} languages; train one for each of lang_blocks")
+def tables_of(docs: DataFrame, codes: dict[str, int], text_col: str = "text", lang_col: str = "lang") -> dict[int, DataFrame]:
+    """``{order: (gram, p)}``, natural log probabilities, and ``{-order: (gram, p)}``, log back-off weights of contexts."""
     levels = {ORDER: land(gram_counts(docs, codes, text_col, lang_col), "grams")}
     for order in range(ORDER - 1, 0, -1):
         lead = F.shiftright("gram", SYMBOL_BITS * order).bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1))
         below = levels[order + 1].groupBy(_suffix(order).alias("gram"))
         # A gram at a word's start has no left neighbour and keeps its own count.
         levels[order] = land(below.agg(F.sum(F.when(lead == 0, F.col("c")).otherwise(1)).alias("c")), "grams")
-    arrays, lower = [], None
+    tables, lower = {}, None
     for order in range(1, ORDER + 1):
         d1, d2, d3 = _discounts(levels[order])
         off = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         rows = levels[order].select("gram", "c", _context().alias("context"), off.alias("off"))
-        sums = rows.groupBy("context").agg(F.sum("c").alias("all"), F.sum("off").alias("spare"))
+        sums = land(rows.groupBy("context").agg(F.sum("c").alias("all"), F.sum("off").alias("spare")), "gram-contexts")
         rows = rows.join(sums, "context")
         below = F.lit(2.0**-SYMBOL_BITS)
         if lower is not None:
             rows = rows.withColumn("s", _suffix(order - 1)).join(lower.select(F.col("gram").alias("s"), F.col("p").alias("q")), "s")
             below = F.col("q")
         p = (F.col("c") - F.col("off")) / F.col("all") + F.col("spare") / F.col("all") * below
-        lower = land(rows.select("gram", "c", p.alias("p")), "gram-probabilities")
-        arrays.append(lower.select(F.lit(order).alias("k"), "gram", "p", F.col("c").cast("double").alias("w")))
-        arrays.append(sums.select(F.lit(-order), "context", F.col("spare") / F.col("all"), F.col("all").cast("double")).toDF("k", "gram", "p", "w"))
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            slot = pa.array(slots(b["gram"].to_numpy(), HASH_BITS))
-            yield pa.RecordBatch.from_arrays([b["k"], slot, b["p"], b["w"]], ["k", "slot", "p", "w"])
-
+        lower = land(rows.select("gram", p.alias("p")), "gram-probabilities")
+        tables[order] = lower.select("gram", F.log("p").cast("float").alias("p"))
+        tables[-order] = sums.select(F.col("context").alias("gram"), F.log(F.col("spare") / F.col("all")).cast("float").alias("p"))
+    return tables
+
+
+def _before(order: int):
+    """The symbol before the scored one, in a gram (``order`` > 1) or a context (``order`` < -1)."""
+    return F.shiftright("gram", SYMBOL_BITS if order > 0 else 0).bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1))
+
+
+def parts_of(tables: dict[int, DataFrame]) -> list[tuple[int, int]]:
+    """Ranges ``[lo, hi)`` of the symbol before, each with about ``HELD_GRAMS`` entries or one symbol's."""
+    keys = [k for k in tables if abs(k) > 1]
+    marks = [tables[k].select(_before(k).alias("before")) for k in keys]
+    found = marks[0]
+    for more in marks[1:]:
+        found = found.union(more)
+    sizes = dict(map(tuple, found.groupBy("before").count().collect()))  # at most 2^11 symbols
+    cuts, held = [0], 0
+    for symbol in range(1 << SYMBOL_BITS):
+        n = sizes.get(symbol, 0)
+        if held and held + n > HELD_GRAMS:
+            cuts.append(symbol)
+            held = 0
+        held += n
+    return list(zip(cuts, [*cuts[1:], 1 << SYMBOL_BITS]))
+
+
+def gathered(tables: dict[int, DataFrame], lo: int = 0, hi: int = 1 << SYMBOL_BITS) -> dict:
+    """The part ``[lo, hi)`` of the model: ``{order or -order of a context: (sorted hashes, values)}``."""
     model: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for part in arrays:
-        folded = part.mapInArrow(fold, "k int, slot long, p double, w double").groupBy("k", "slot").agg(
-            (F.sum(F.col("p") * F.col("w")) / F.sum("w")).cast("float").alias("p")
-        )
-        got = folded.toArrow()  # at most 2^HASH_BITS rows
+    for key, rows in tables.items():
+        got = (rows.where(_before(key).between(lo, hi - 1)) if abs(key) > 1 else rows).toArrow()
         if got.num_rows:
-            got = got.sort_by("slot")
-            model[got["k"][0].as_py()] = (got["slot"].to_numpy().astype(np.int32), np.log(got["p"].to_numpy()))
+            h, values = hashed(got["gram"].to_numpy()), got["p"].to_numpy()
+            order = np.argsort(h)
+            model[key] = (h[order], values[order])
     return model
 
 
-# --- scoring --------------------------------------------------------------------
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", codes: dict[str, int] | None = None) -> dict:
+    """The whole model of all texts, for corpora whose model one process can hold (``quality`` takes any).
+
+    ``codes`` are the languages' codes, at most ``LANGS`` (default: those of ``docs``).
+    """
+    if codes is None:
+        codes, *more = lang_blocks(langs_of(docs, lang_col)) or [{}]
+        if more:
+            raise ValueError(f"a model holds {LANGS} languages; train one for each of lang_blocks")
+    return gathered(tables_of(docs, codes, text_col, lang_col))
 
 
-def placed(model: dict) -> dict:
-    """``model`` with the place of every hash in its sorted array (-1: absent): 4 MB a table, made once a task."""
-    out = {}
-    for key, (hashes, values) in model.items():
-        place = np.full(1 << HASH_BITS, -1, np.int32)
-        place[hashes] = np.arange(len(hashes), dtype=np.int32)
-        out[key] = (hashes, values, place)
-    return out
+# --- scoring --------------------------------------------------------------------
 
 
 def _probe(model: dict, key: int, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which grams the sorted hash arrays ``{order or -order of a context: (hashes, values)}`` hold, and their
-    values; found by place in a ``placed`` model, else by binary search."""
+    """Which grams the sorted hash array of ``key`` holds, and their values."""
     if key not in model:
         return np.zeros(len(gram), bool), np.zeros(len(gram), np.float32)
-    hashes, values, *place = model[key]
-    slot = slots(gram, HASH_BITS)
-    if place:
-        at = place[0][slot]
-        return at >= 0, values[at]
-    at = np.minimum(np.searchsorted(hashes, slot.astype(np.int32)), len(hashes) - 1)
-    return hashes[at] == slot, values[at]
+    hashes, values = model[key]
+    h = hashed(gram)
+    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+    return hashes[at] == h, values[at]
 
 
-def log_probabilities(words: list[bytes], lang: int, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Natural log probability and number of symbols of each word."""
+def log_probabilities(words: list[bytes], lang: int, model: dict, part: tuple[int, int] = (0, 1 << SYMBOL_BITS)) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probability and number of symbols of each word; of the probability only the ``part``'s share."""
     gram, heads = word_grams(words, lang)
-    value = np.full(len(gram), -SYMBOL_BITS * np.log(2))
-    for order in range(1, ORDER + 1):
-        g = suffix(gram, order)
-        seen, p = _probe(model, order, g)
-        body = (g & ((1 << LANG_SHIFT) - 1)) >> SYMBOL_BITS | (g >> LANG_SHIFT << LANG_SHIFT)
-        rest, back = _probe(model, -order, body)
-        value = np.where(seen, p, value + np.where(rest, back, 0.0))
+    value = np.zeros(len(gram))
+    before = (gram >> SYMBOL_BITS) & ((1 << SYMBOL_BITS) - 1)
+    rest = np.flatnonzero((before >= part[0]) & (before < part[1]))
+    g, back = gram[rest], np.zeros(len(rest))
+    for order in range(ORDER, 0, -1):
+        seen, p = _probe(model, order, suffix(g, order))
+        value[rest[seen]] = back[seen] + p[seen]
+        rest, g, back = rest[~seen], g[~seen], back[~seen]
+        if not len(rest):
+            break
+        known, weight = _probe(model, -order, context(g, order))
+        back = back + np.where(known, weight, 0.0)
+    value[rest] = back - SYMBOL_BITS * np.log(2)
     return np.add.reduceat(value, heads), np.diff(np.append(heads, len(gram)))
 
 
@@ -285,18 +311,22 @@ def base_stats(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_letters")
 
 
-def scored(docs: DataFrame, held, codes: dict[str, int], carry: list[str], text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``(doc, lang, <statistics>, surprise)``: ``doc`` holds the columns ``carry``, ``held`` is the broadcast model, ``codes`` its languages.
+def scored(
+    docs: DataFrame, held, codes: dict[str, int], carry: list[str], text_col: str = "text", lang_col: str = "lang",
+    part: tuple[int, int] = (0, 1 << SYMBOL_BITS), digest: Column | None = None,
+) -> DataFrame:
+    """``(doc, lang, digest, <statistics>, surprise)``: ``doc`` holds the columns ``carry``, ``held`` is the broadcast model, ``codes`` its languages.
 
-    ``surprise`` is the mean of ``-ln p`` over the symbols of the words, 0 without words.
+    ``surprise`` is the mean of ``-ln p`` over the symbols of the words, 0 without words; of it
+    the share of the symbols in ``part``, which ``held`` must cover.
     """
     rows = docs.select(
-        F.struct(*[docs[c] for c in carry]).alias("doc"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
+        F.struct(*[docs[c] for c in carry]).alias("doc"), F.col(lang_col).cast("string").alias("lang"), (F.lit("") if digest is None else digest).alias("digest"), F.col(text_col).alias("text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, dict[bytes, tuple[float, int]]] = {}
-        model = placed(held.value)
+        model = held.value
         for whole in batches:
             for lo, n in blocks_of(whole["text"], TEXT_BYTES):
                 b = whole.slice(lo, n)
@@ -309,8 +339,8 @@ def scored(docs: DataFrame, held, codes: dict[str, int], carry: list[str], text_
                         cache.clear()
                     new = list({w for words, c in zip(split, langs) if c == lang for w in words if w not in cache})
                     for at in range(0, len(new), 1 << 14):
-                        part = new[at : at + (1 << 14)]
-                        cache.update(zip(part, zip(*(x.tolist() for x in log_probabilities(part, lang, model)))))
+                        some = new[at : at + (1 << 14)]
+                        cache.update(zip(some, zip(*(x.tolist() for x in log_probabilities(some, lang, model, part)))))
                 stats, surprise = [], []
                 for text, words, lang in zip(full, split, langs):
                     found = list(map(known[lang].__getitem__, words))
@@ -318,12 +348,12 @@ def scored(docs: DataFrame, held, codes: dict[str, int], carry: list[str], text_
                     stats.append((*base_stats(text, words), letters))
                     surprise.append(-sum(x[0] for x in found) / letters if letters else 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [b["doc"], b["lang"], *(pa.array(c, pa.int64()) for c in zip(*stats)), pa.array(surprise, pa.float64())],
-                    ["doc", "lang", *STATS, "surprise"],
+                    [b["doc"], b["lang"], b["digest"], *(pa.array(c, pa.int64()) for c in zip(*stats)), pa.array(surprise, pa.float64())],
+                    ["doc", "lang", "digest", *STATS, "surprise"],
                 )
 
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc {kind}, lang string, {', '.join(f'{c} long' for c in STATS)}, surprise double")
+    return rows.mapInArrow(run, f"doc {kind}, lang string, digest string, {', '.join(f'{c} long' for c in STATS)}, surprise double")
 
 
 def base_failed():
@@ -368,14 +398,33 @@ def quality(docs: DataFrame, carry: list[str] | None = None, text_col: str = "te
     blocks = lang_blocks(langs_of(docs, lang_col)) or [{}]
     for codes in blocks:
         name = F.coalesce(docs[lang_col].cast("string"), F.lit(""))
-        part = docs if len(blocks) == 1 else docs.where(name.isin(list(codes)))
-        held = docs.sparkSession.sparkContext.broadcast(train(part, text_col, lang_col, codes))
-        rows = land(scored(part, held, codes, carry or docs.columns, text_col, lang_col), "quality")
-        held.unpersist()  # the scores are written; executors need not keep the model
+        some = docs if len(blocks) == 1 else docs.where(name.isin(list(codes)))
+        rows = surprises(some, codes, carry or docs.columns, text_col, lang_col)
         found = found.unionByName(rows) if found is not None else rows
     return judged(found, land(bands(found), "bands"))
 
 
+def surprises(docs: DataFrame, codes: dict[str, int], carry: list[str], text_col: str, lang_col: str) -> DataFrame:
+    """``scored`` by the model of ``docs`` itself, part by part if one task cannot hold it."""
+    tables = tables_of(docs, codes, text_col, lang_col)
+    parts = parts_of(tables)
+    full = F.concat(F.coalesce(F.col(lang_col).cast("string"), F.lit("")), F.lit("\0"), F.coalesce(F.col(text_col), F.lit("")))
+    digest = F.sha2(full, 256) if len(parts) > 1 else None  # tells whose shares add up
+    done = []
+    for part in parts:
+        held = docs.sparkSession.sparkContext.broadcast(gathered(tables, *part))
+        done.append(land(scored(docs, held, codes, carry, text_col, lang_col, part, digest), "quality"))
+        held.unpersist()  # the scores are written; executors need not keep the model
+    first, *more = done
+    if more:
+        shares = more[0].select("digest", "surprise").distinct()
+        for rows in more[1:]:
+            shares = shares.union(rows.select("digest", "surprise").distinct())
+        shares = shares.groupBy("digest").agg(F.sum("surprise").alias("_more"))
+        first = land(first.join(shares, "digest").withColumn("surprise", F.col("surprise") + F.col("_more")).drop("_more"), "quality")
+    return first.drop("digest")
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass."""
     return quality(docs).where("kept").select("doc.*")

@@ -128,6 +128,64 @@ def test_kneser_ney_sums_to_one_over_next_symbols(spark):
     assert total == pytest.approx(1.0, abs=0.02)
 
 
+def plain_kneser_ney(texts):
+    """Surprise by text: modified Kneser-Ney over letters in plain Python, every text counted and scored."""
+    order, bits = perplexity.ORDER, perplexity.SYMBOL_BITS
+    top = Counter()
+
+    def grams(word):
+        line = ["<s>", *word, "</s>"]
+        return [tuple(line[max(0, i + 1 - order) : i + 1]) for i in range(1, len(line))]
+
+    for text in texts:
+        for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+            top.update(grams(word))
+    # A gram shorter than its order begins a word: it keeps its own count at every order that holds all of it.
+    levels = {order: top}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter()
+        for g, c in levels[k + 1].items():
+            levels[k][g[-k:]] += 1 if len(g) > k else c
+    tables, discounts = {}, {}
+    for k, level in levels.items():
+        n = [0, *(sum(c == i for c in level.values()) for i in range(1, 5))]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else None
+        raw = [(i - (i + 1) * y * n[i + 1] / n[i] if n[i] else i / 2) if y is not None else i / 2 for i in (1, 2, 3)]
+        discounts[k] = [min(max(d, 0.1 * i), 0.95 * i) for i, d in zip((1, 2, 3), raw)] if y is not None else [0.5, 1.0, 1.5]
+        tables[k] = {}
+        for g, c in level.items():
+            total, spare = tables[k].get(g[:-1], (0, 0.0))
+            tables[k][g[:-1]] = (total + c, spare + discounts[k][min(c, 3) - 1])
+
+    def p(g, k):
+        if k == 0:
+            return 2.0**-bits
+        g = g[-k:]
+        c, (total, spare) = levels[k][g], tables[k][g[:-1]]
+        return (c - discounts[k][min(c, 3) - 1]) / total + spare / total * p(g, k - 1)
+
+    out = []
+    for text in texts:
+        found = [-np.log(p(g, order)) for word in re.findall(r"[^\x20\x09-\x0D]+", text) for g in grams(word)]
+        out.append(sum(found) / len(found) if found else 0.0)
+    return out
+
+
+@pytest.mark.parametrize("held", [None, 600])
+def test_perplexity_equals_plain_kneser_ney(spark, held, monkeypatch):
+    if held:
+        monkeypatch.setattr(perplexity, "HELD_GRAMS", held)  # a model in parts
+    texts = [prose(i, 150) for i in range(8)] + ["", "one", "été ñandú été", "a b a b", prose(3, 150)]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc.doc_id: r.surprise for r in perplexity.quality(df, ["doc_id"]).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(plain_kneser_ney(texts), rel=1e-5)
+
+
+def test_hashes_tell_all_grams_apart():
+    gram = np.concatenate([np.arange(1 << 20, dtype=np.int64), np.arange(1 << 20, dtype=np.int64) << 42])
+    assert len(np.unique(perplexity.hashed(gram))) == len(np.unique(gram))
+
+
 def test_no_two_characters_or_languages_share_a_model():
     points = np.arange(0x110000)
     symbols, sizes = perplexity.symbols_of(points)
