@@ -18,9 +18,11 @@ language:
   symbol before the one that is scored: all that a position looks up lies in one such part, so
   each part scores its own positions in a pass over the texts, and the shares add up.
 
-A document passes if the mean surprise of its symbols lies within its language's
+A document passes if the mean surprise of its words lies within its language's
 band, whose two sides lie a number of deviations from the language's median;
-a deviation shrinks with the root of the text's length, as sampling noise does.
+a deviation shrinks with the root of the number of words, as sampling noise does.
+The mean is taken by word, not by symbol: a word with odd signs behind it has more
+symbols, which a mean over symbols would divide the surprise by.
 """
 
 from __future__ import annotations
@@ -308,6 +310,11 @@ def base_stats(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeat_words(words, REPEAT_WINDOW)
 
 
+def per_word():
+    """Mean surprise of a document's words."""
+    return F.col("surprise") * F.col("n_letters") / F.greatest("n_words", F.lit(1))
+
+
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_letters")
 
 
@@ -363,23 +370,23 @@ def base_failed():
 def bands(found: DataFrame) -> DataFrame:
     """``(band, middle, scale)`` of the documents of each language that pass the base rules.
 
-    ``middle`` is the median surprise, ``scale`` the robust deviation (from the
-    quartiles) of ``(surprise - middle) * sqrt(symbols)``.
+    ``middle`` is the median of ``per_word``, ``scale`` the robust deviation (from the
+    quartiles) of ``(per_word - middle) * sqrt(words)``.
     """
-    rows = found.where(~base_failed()).select(F.coalesce("lang", F.lit("")).alias("band"), "surprise", F.sqrt("n_letters").alias("root"))
-    middle = land(rows.groupBy("band").agg(F.percentile_approx("surprise", F.lit(0.5), 10000).alias("middle")), "middles")
-    off = (F.col("surprise") - F.col("middle")) * F.col("root")
+    rows = found.where(~base_failed()).select(F.coalesce("lang", F.lit("")).alias("band"), per_word().alias("mean"), F.sqrt("n_words").alias("root"))
+    middle = land(rows.groupBy("band").agg(F.percentile_approx("mean", F.lit(0.5), 10000).alias("middle")), "middles")
+    off = (F.col("mean") - F.col("middle")) * F.col("root")
     q = F.percentile_approx(off, F.array(F.lit(0.25), F.lit(0.75)), 10000)
     scale = rows.join(middle, "band").groupBy("band", "middle").agg(q.alias("q"))
     return scale.select("band", "middle", ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias("scale"))
 
 
 def judged(found: DataFrame, band: DataFrame) -> DataFrame:
-    """``found`` with ``base_failed``, the band's ``lower`` and ``upper`` perplexity, and ``kept``."""
-    unit = F.greatest("scale", F.lit(LEAST_SCALE)) / F.sqrt(F.greatest("n_letters", F.lit(1)))
+    """``found`` with ``base_failed``, the band's ``lower`` and ``upper`` perplexity (by word), and ``kept``."""
+    unit = F.greatest("scale", F.lit(LEAST_SCALE)) / F.sqrt(F.greatest("n_words", F.lit(1)))
     lower, upper = F.col("middle") - BELOW * unit, F.col("middle") + ABOVE * unit
     rows = found.join(band, F.coalesce("lang", F.lit("")) == F.col("band"), "left").drop("band")
-    inside = F.col("surprise").between(lower, upper)
+    inside = per_word().between(lower, upper)
     return rows.select(
         "*", base_failed().alias("base_failed"), F.exp(lower).alias("lower"), F.exp(upper).alias("upper"),
         (~base_failed() & F.coalesce(inside, F.lit(False))).alias("kept"),
@@ -433,4 +440,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
 def op9(spark, sf_dir: str) -> DataFrame:
     """Contract of ``op9_quality_rules``."""
     found = quality(table(spark, sf_dir, "documents"), ["doc_id"])
-    return found.select("doc.doc_id", *STATS[:5], "base_failed", "kept", F.exp("surprise").alias("perplexity"), "lower", "upper")
+    return found.select("doc.doc_id", *STATS[:5], "base_failed", "kept", F.exp(per_word()).alias("perplexity"), "lower", "upper")

@@ -181,6 +181,18 @@ def test_perplexity_equals_plain_kneser_ney(spark, held, monkeypatch):
     assert [got[i] for i in range(len(texts))] == pytest.approx(plain_kneser_ney(texts), rel=1e-5)
 
 
+def test_bands_reject_signs_on_words(spark):
+    clean = [prose(i, 120) for i in range(400)]
+    signs = " ".join(w + "%%%$$$&&&"[3 * (k % 3) :][:3] for k, w in enumerate(prose(900, 240).split()))
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*clean, signs])], "doc_id long, text string, lang string")
+    found = {r.doc.doc_id: r for r in perplexity.quality(df, ["doc_id"]).collect()}
+    passed = [i for i in range(400) if not found[i].base_failed]
+    assert len(passed) > 300 and all(found[i].kept for i in passed)
+    assert not found[400].base_failed and not found[400].kept
+    mean = found[400].surprise * found[400].n_letters / found[400].n_words
+    assert mean > np.log(found[400].upper)
+
+
 def test_hashes_tell_all_grams_apart():
     gram = np.concatenate([np.arange(1 << 20, dtype=np.int64), np.arange(1 << 20, dtype=np.int64) << 42])
     assert len(np.unique(perplexity.hashed(gram))) == len(np.unique(gram))
