@@ -1,8 +1,10 @@
 """Tool-call linking, with DataFrame and SQL functions only.
 
 Calls and results meet in a shuffled hash join by conversation and call
-identifier; calls are ordered by the length of their chain of ``after``
-references (found by pointer doubling, so a chain of n calls takes log2 n joins);
+identifier; calls are ordered by the longest way back along their ``after``
+references.  Stretches where each call waits for one other are followed by pointer doubling (a
+chain of n calls takes log2 n joins), calls that wait for several are then settled
+one behind the other;
 arguments are parsed as JSON variants, checked against the tools' schemas and
 serialised with sorted keys and no spaces.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from cargoline.llm.common import land, table
 
@@ -27,26 +30,51 @@ def first_by_id(rows: DataFrame) -> DataFrame:
     return found.select(*CALL, *[F.col(f"r.{c}").alias(c) for c in rest], "copies")
 
 
+def predecessors(calls: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, up)``: each call with the calls of its conversation that ``after`` names, text or array of texts."""
+    named = F.explode("after") if isinstance(calls.schema["after"].dataType, ArrayType) else F.col("after")
+    return calls.select(*CALL, named.alias("up")).distinct().join(calls.select("conv_id", F.col("call_id").alias("up")), ["conv_id", "up"])
+
+
 def depths(calls: DataFrame) -> DataFrame:
-    """``(conv_id, call_id, depth)``: number of calls before this one in its ``after`` chain.
+    """``(conv_id, call_id, depth)``: number of calls on the longest way to this one along ``after``.
 
-    A reference to no call of the conversation ends the chain.  Calls on a
-    cycle, or behind one, get depth null.
+    A reference to no call of the conversation counts for nothing.  Calls on a
+    cycle, or behind one, get depth null.  Rounds: the logarithm of the longest stretch in which
+    each call waits for one other, within one conversation, and then as many as calls
+    that wait for several stand one behind the other.
     """
-    known = calls.select("conv_id", F.col("call_id").alias("after"))
-    jumps = calls.select(*CALL, "after").join(known.withColumn("_known", F.lit(True)), ["conv_id", "after"], "left").select(
-        *CALL, F.when(F.col("_known"), F.col("after")).alias("up"), F.when(F.col("_known"), 1).otherwise(0).cast("long").alias("depth")
-    )
-    jumps = land(jumps, "call-chains")
-    limit, reach = jumps.count(), 1
-    while reach <= 2 * limit and not jumps.where("up IS NOT NULL").isEmpty():
-        above = jumps.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        jumps = land(
-            jumps.join(above, ["conv_id", "up"], "left").select(*CALL, F.col("up2").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")),
-            "call-chains",
-        )
-        reach *= 2
-    return jumps.select(*CALL, F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+    edges = land(predecessors(calls), "call-edges")
+    waits = edges.groupBy(*CALL).agg(F.count("*").alias("n"), F.max("up").alias("up"))
+    one = F.coalesce(F.col("n") == 1, F.lit(False))
+    # `top` is a call further back, `hops` away; a way ends at a call that waits for none or for several.
+    state = land(calls.select(*CALL).join(waits, CALL, "left").select(
+        *CALL, "n", F.when(one, F.col("up")).otherwise(F.col("call_id")).alias("top"), one.cast("long").alias("hops"), (~one).alias("ended")
+    ), "call-chains")
+    limit = calls.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    fields = [*CALL, "top", "hops", "ended"]
+    ends, moving, reach = state.where("ended").select(*fields), state.where("NOT ended").select(*fields), 1
+    while reach <= limit and not moving.isEmpty():
+        ahead = ends.union(moving).select("conv_id", F.col("call_id").alias("top"), F.col("top").alias("_top"), F.col("hops").alias("_hops"), F.col("ended").alias("_ended"))
+        moved = land(moving.join(ahead, ["conv_id", "top"]).select(
+            *CALL, F.col("_top").alias("top"), (F.col("hops") + F.col("_hops")).alias("hops"), F.col("_ended").alias("ended")
+        ), "call-chains")
+        ends, moving, reach = ends.union(moved.where("ended")), moved.where("NOT ended"), 2 * reach
+    settled = state.where("n IS NULL").select("conv_id", F.col("call_id").alias("top"), F.lit(0).cast("long").alias("base"))
+    way = ends.select("conv_id", F.col("call_id").alias("up"), "top", (F.col("hops") + 1).alias("hops"))
+    waiting = edges.join(state.where("n > 1").select(*CALL), CALL, "left_semi").join(way, ["conv_id", "up"], "left").join(settled, ["conv_id", "top"], "left")
+    waiting = land(waiting.select(*CALL, "top", "hops", "base"), "call-waits")
+    while True:
+        known = waiting.groupBy(*CALL).agg(F.max(F.col("hops") + F.col("base")).alias("base"), F.count_if(F.col("base").isNull()).alias("_open"))
+        new = land(known.where("_open = 0").select("conv_id", F.col("call_id").alias("top"), "base"), "call-depths")
+        if new.isEmpty():
+            break
+        settled = settled.union(new)
+        rest = waiting.join(new.select("conv_id", F.col("top").alias("call_id")), CALL, "left_anti")
+        more = new.withColumnRenamed("base", "_base")
+        waiting = land(rest.join(more, ["conv_id", "top"], "left").select(*CALL, "top", "hops", F.coalesce("base", "_base").alias("base")), "call-waits")
+    found = ends.join(settled, ["conv_id", "top"]).select(*CALL, (F.col("hops") + F.col("base")).alias("depth"))
+    return calls.select(*CALL).join(found, CALL, "left")
 
 
 def problems(args: Column, schema: list[tuple[str, str, bool]]) -> Column:
@@ -66,7 +94,8 @@ def problems(args: Column, schema: list[tuple[str, str, bool]]) -> Column:
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, list[tuple[str, str, bool]]]) -> DataFrame:
     """One row per call identifier and per orphan result.
 
-    ``calls``: conv_id, call_id, turn, name, arguments (JSON text), after.
+    ``calls``: conv_id, call_id, turn, name, arguments (JSON text), after (the
+    call it waits for, or an array of them).
     ``results``: conv_id, call_id, turn, content.  ``schemas``: tool name to
     ``(field, type, required)``.
 
@@ -114,9 +143,9 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, list[tup
 def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
     """Calls and results read out of plain conversations.
 
-    Each user or system turn calls a tool named after its role, each assistant turn
-    is the result of the turn before it; a call comes after the call two turns
-    earlier.  Arguments hold the turn, the text and its length; where the length
+    Each assistant turn is the result of the turn before it, each other turn calls a
+    tool named after its role; only user and system are known tools, a null role
+    names none.  A call comes after the call two turns earlier.  Arguments hold the turn, the text and its length; where the length
     is a multiple of seven it is given as text, so that checking has work to do.
     """
     ident = lambda turn: F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string"))
@@ -124,7 +153,7 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
     length = F.when(size % 7 == 0, F.concat(F.lit('"'), size.cast("string"), F.lit('"'))).otherwise(size.cast("string"))
     quoted = F.get(F.regexp_extract_all(F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t"))), F.lit(r'(?s)^\{"t":(.*)\}$'), F.lit(1)), F.lit(0))
     arguments = F.concat(F.lit('{"turn": '), F.col("turn").cast("string"), F.lit(', "text": '), quoted, F.lit(', "length": '), length, F.lit("}"))
-    asked = turns.where(F.col("role").isin("user", "system"))
+    asked = turns.where(~F.col("role").eqNullSafe(F.lit("assistant")))
     calls = asked.select(
         "conv_id", ident(F.col("turn")).alias("call_id"), "turn", F.col("role").alias("name"), arguments.alias("arguments"), ident(F.col("turn") - 2).alias("after")
     )
@@ -142,7 +171,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = """
 WITH RECURSIVE calls AS (
   SELECT conv_id, turn, role AS name, coalesce(text, '') AS text, count(*) AS copies
-  FROM (SELECT conv_id, turn, min(role) AS role, min(text) AS text FROM conversations WHERE role IN ('user', 'system') GROUP BY conv_id, turn)
+  FROM (SELECT conv_id, turn, min(role) AS role, min(text) AS text FROM conversations WHERE role IS DISTINCT FROM 'assistant' GROUP BY conv_id, turn)
   GROUP BY ALL),
 results AS (SELECT conv_id, turn - 1 AS turn, min(text) AS content FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn),
 chain AS (
@@ -153,10 +182,11 @@ joined AS (
   SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, 'call-' || coalesce(c.conv_id, r.conv_id) || '-' || coalesce(c.turn, r.turn) AS call_id,
     coalesce(c.turn, r.turn + 1) AS turn, CAST(chain.depth AS BIGINT) AS depth, c.name,
     CASE WHEN c.conv_id IS NULL THEN 'orphan_result' WHEN r.conv_id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
-    CASE WHEN c.conv_id IS NOT NULL AND length(c.text) % 7 = 0 THEN 'length: not BIGINT' ELSE '' END AS errors, c.text, r.content, c.turn AS call_turn
+    CASE WHEN c.conv_id IS NOT NULL AND (c.name IS NULL OR c.name NOT IN ('user', 'system')) THEN 'unknown tool'
+      WHEN c.conv_id IS NOT NULL AND length(c.text) % 7 = 0 THEN 'length: not BIGINT' ELSE '' END AS errors, c.text, r.content, c.turn AS call_turn
   FROM calls c LEFT JOIN chain USING (conv_id, turn) FULL JOIN results r ON r.conv_id = c.conv_id AND r.turn = c.turn)
 SELECT conv_id, call_id, turn, depth, name, status, errors, '{' || concat_ws(',',
-    CASE WHEN name IS NOT NULL THEN '"arguments":{"length":' || CASE WHEN length(text) % 7 = 0 THEN '"' || length(text) || '"' ELSE CAST(length(text) AS VARCHAR) END
+    CASE WHEN call_turn IS NOT NULL THEN '"arguments":{"length":' || CASE WHEN length(text) % 7 = 0 THEN '"' || length(text) || '"' ELSE CAST(length(text) AS VARCHAR) END
       || ',"text":' || to_json(text) || ',"turn":' || call_turn || '}' END,
     '"id":' || to_json(call_id), CASE WHEN name IS NOT NULL THEN '"name":' || to_json(name) END,
     CASE WHEN content IS NOT NULL THEN '"result":' || to_json(content) END) || '}' AS message

@@ -1,9 +1,11 @@
 """Page extraction and tool-call linking."""
 
 import json
+import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from cargoline.llm import chat, pages
 
@@ -144,6 +146,45 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert empty.count() == 0
 
 
+def test_calls_that_wait_for_several_equal_brute_force(spark):
+    rng = random.Random(3)
+    calls = {(1, f"c{i}"): [f"c{i - 1}"] for i in range(40)}  # one long chain
+    for conv in (2, 3, 4):
+        for i in range(25):
+            back = [f"c{j}" for j in range(i)] + ["gone"]
+            calls[conv, f"c{i}"] = rng.sample(back, min(len(back), rng.choice([0, 1, 1, 2, 3]))) + [None]
+    calls[3, "c4"] = ["c9", "c1"]  # perhaps a cycle
+    calls[4, "c0"] = ["c0"]
+    calls[4, "x"] = ["y", "c3"]
+    calls[4, "y"] = ["x", "x"]
+    calls[5, "alone"] = None
+    depth = dict.fromkeys(calls)
+    for _ in calls:  # settles one more level each time
+        for (conv, name), after in calls.items():
+            ups = [depth[conv, u] for u in {*(after or [])} if (conv, u) in calls]
+            if None not in ups:
+                depth[conv, name] = 1 + max(ups) if ups else 0
+    df = spark.createDataFrame([(*k, v) for k, v in calls.items()], "conv_id long, call_id string, after array<string>")
+    got = {(r.conv_id, r.call_id): r.depth for r in chat.depths(df).collect()}
+    assert got == depth and depth[1, "c39"] == 39 and depth[4, "c0"] is None
+
+
+def test_turns_of_other_roles_have_rows(spark):
+    import duckdb
+
+    turns = [(1, 0, "system", "s"), (1, 1, "user", "seven c"), (1, 2, "assistant", "a"), (1, 3, "tool", "t"), (1, 4, "assistant", None), (1, 5, None, "n"), (2, 0, "user", None)]
+    calls, results, schemas = chat.conversation_calls(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    found = chat.link_calls(calls, results, schemas).withColumn("errors", F.array_join("errors", "; "))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", turns)
+    want = con.execute(chat.OP1_SQL).fetchall()
+    names = [d[0] for d in con.description]
+    got = [tuple(r[c] for c in names) for r in found.collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 5
+    assert {r[names.index("turn")] for r in got if r[names.index("errors")] == "unknown tool"} == {3, 5}
+
+
 def test_no_python_in_the_plan(spark, capsys):
     from tests.conftest import SF_SMALL
 
