@@ -209,11 +209,12 @@ def q_sink_by_date_error(spark, sf_dir):
 
 
 def q_sink_overwrite_failed(spark, sf_dir):
-    """An overwrite that fails on one of its dates; the rows that were there stay."""
+    """An overwrite that fails on one of its dates, the last that the tables hold; the rows that were there stay."""
     spec = _spec(spark, "sink-overwrite-failed")
     write(_output(spark, sf_dir), spec)
     late = _output(spark, sf_dir, LATER_START, LATER_END)
-    broken = late.withColumn("route_id", F.when(F.col("process_date") == "19981230", F.raise_error(F.lit("lost its input"))).otherwise(F.col("route_id")))
+    last = late.agg(F.max("process_date")).first()[0]
+    broken = late.withColumn("route_id", F.when(F.col("process_date") == last, F.raise_error(F.lit("lost its input"))).otherwise(F.col("route_id")))
     return _refused(spark, lambda: write(broken, spec), spec, PySparkException)
 
 
