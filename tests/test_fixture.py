@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cargoline.schema import DELIVERY_SCHEMA
+from cargoline.sources import fixture
 from cargoline.sources.fixture import deliveries, derive_deliveries, land_deliveries
 from tests.conftest import SF_SMALL
 
@@ -48,3 +49,20 @@ def test_grown_input_is_landed_anew_for_any_uri(spark, tmp_path):
     before = deliveries(spark, uri).count()
     lines.where(~part).write.mode("append").partitionBy("l_linestatus").parquet(f"{uri}/lineitem.parquet")
     assert 0 < before < deliveries(spark, uri).count() == 7217
+
+
+def test_landing_tasks_follow_the_rows(spark, monkeypatch):
+    """A task joins and sorts a bounded part, whatever the session's number of shuffle partitions; its settings stay."""
+    monkeypatch.setattr(fixture, "TASK_ROWS", 250)
+    monkeypatch.setattr(fixture, "TASK_BYTES", 1)
+    own = [spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", fixture.ADVISORY)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b")
+    try:
+        path = land_deliveries(spark, SF_SMALL, fresh=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+    landed = spark.read.parquet(path)
+    files = landed.groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 20 and max(f["count"] for f in files) < 900
+    assert landed.exceptAll(derive_deliveries(spark, SF_SMALL)).count() == 0 and landed.count() == 7217
+    assert own == [spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", fixture.ADVISORY)]
