@@ -83,14 +83,17 @@ _CSV_DONE: set[str] = set()
 
 
 def _fixture_csv(spark: SparkSession, sf_dir: str, sep: str = ",") -> str:
-    """The deliveries as CSV, white space kept; one comma (headed) and one semicolon copy per landed table."""
+    """The deliveries as CSV, white space kept; one comma (headed) and one semicolon copy per landed table.
+
+    The files are compressed: a ``multiLine`` scan reads each in one task anyway.
+    """
     source = land_deliveries(spark, sf_dir)
     path = f"{source}-csv-{'comma' if sep == ',' else 'semicolon'}-{spark.sparkContext.applicationId}"
     if path not in _CSV_DONE:
         (
             spark.read.schema(DELIVERY_SCHEMA).parquet(source).write.mode("overwrite")
             .option("header", sep == ",").option("sep", sep).option("quote", '"').option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", "lz4").csv(path)
         )
         _CSV_DONE.add(path)
     return path

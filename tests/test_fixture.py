@@ -66,3 +66,13 @@ def test_landing_tasks_follow_the_rows(spark, monkeypatch):
     assert len(files) >= 20 and max(f["count"] for f in files) < 900
     assert landed.exceptAll(derive_deliveries(spark, SF_SMALL)).count() == 0 and landed.count() == 7217
     assert own == [spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", fixture.ADVISORY)]
+
+
+def test_csv_copies_are_compressed_and_equal(spark):
+    from cargoline.queries import _fixture_csv
+    from cargoline.sources.csv import read_deliveries
+    from cargoline.storage import files
+
+    path = _fixture_csv(spark, SF_SMALL)
+    assert files(spark, path) and all(f.path.endswith(".csv.lz4") for f in files(spark, path))
+    assert read_deliveries(spark, path).count() == 7217
