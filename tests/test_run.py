@@ -176,3 +176,25 @@ def test_splittable_csv_reads_in_several_partitions(spark, tmp_path):
         assert read_deliveries(spark, path).rdd.getNumPartitions() == 1
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_intake_tasks_read_small_splits(spark, tmp_path, monkeypatch):
+    """The tasks that de-duplicate the input hold a bounded part of it; the session's setting stays."""
+    from pyspark.sql import functions as F
+
+    from cargoline.plans import run
+    from cargoline.plans.transform import QualityChecks
+    from cargoline.schema import DELIVERY_SCHEMA
+    from cargoline.sources.fixture import deliveries
+    from tests.conftest import SF_SMALL
+
+    path = str(tmp_path / "in")
+    deliveries(spark, SF_SMALL).coalesce(1).write.option("parquet.block.size", 8192).parquet(path)  # many row groups
+    source = spark.read.schema(DELIVERY_SCHEMA).parquet(path).withColumn("ruta", F.spark_partition_id().cast("string"))
+    own = spark.conf.get(run.SPLIT)
+    whole = run.take_in(source, QualityChecks()).select("ruta").distinct().count()
+    monkeypatch.setattr(run, "SPLIT_BYTES", 8192)
+    intake = run.take_in(source, QualityChecks())
+    assert intake.select("ruta").distinct().count() > whole
+    assert intake.agg(F.sum("m")).first()[0] == 7217
+    assert spark.conf.get(run.SPLIT) == own
