@@ -281,3 +281,21 @@ def test_coded_tokens_are_a_distribution():
         node, bit, *_ = mixing.decisions(np.array([token]), np.array([0]), code)
         total += math.exp(sum(math.log(code.prior[k] if b else 1 - code.prior[k]) for k, b in zip(node, bit)))
     assert total == pytest.approx(1, abs=1e-5)
+
+
+def test_a_text_is_sent_to_its_scoring_task_once(docs, rows, capsys):
+    """Texts that are carried along are not sent a second time, and rows go in small batches."""
+    from cargoline.llm import perplexity
+
+    codes = perplexity.lang_blocks(perplexity.langs_of(docs, "lang"))[0]
+    held = docs.sparkSession.sparkContext.broadcast(perplexity.train(docs, codes=codes))
+    whole = perplexity.scored(docs, held, codes, docs.columns)
+    capsys.readouterr()
+    whole.explain("extended")
+    sent = re.search(r"Optimized Logical Plan ==(.*)== Physical", capsys.readouterr().out, re.S).group(1)
+    assert not re.search(r"text#\d+\]\s*$", sent.split("Project", 1)[1].split("\n")[0])
+    alone = perplexity.scored(docs, held, codes, ["doc_id"])
+    cols = ("lang", *perplexity.STATS, "surprise")
+    assert sorted(map(repr, whole.select("doc.text").collect())) == sorted(map(repr, docs.select("text").collect()))
+    key = lambda df: sorted(map(repr, df.select("doc.doc_id", *cols).collect()))
+    assert key(whole) == key(alone)
