@@ -120,10 +120,11 @@ def run_rows(docs: DataFrame, symbols: Callable[[bytes], np.ndarray], width: int
 def candidates(runs: DataFrame, name: str) -> DataFrame:
     """Runs whose anchor occurs at two places or more, landed.
 
-    The first shuffle carries one minimum and one maximum per anchor, combined
+    The runs are written first: both passes over them read the files, so each text is cut once. The first shuffle carries one minimum and one maximum per anchor, combined
     before it, and is written, so that the second, a semi-join, stands on two plain
     exchanges and AQE can split its hot anchors.
     """
+    runs = land(runs, f"{name}-all")
     tag = F.xxhash64("doc", "place")
     shared = land(
         runs.select("anchor", tag.alias("tag")).groupBy("anchor").agg(F.min("tag").alias("a"), F.max("tag").alias("b"))
@@ -145,13 +146,22 @@ def contested(folded: DataFrame) -> DataFrame:
     return folded.join(many, "anchor")
 
 
+def squeezed(text: bytes) -> bytes:
+    """``text`` compressed, its length in front."""
+    return len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
+
+
+def unsqueezed(body: bytes) -> bytes:
+    size = int.from_bytes(body[:8], "little")
+    return pa.decompress(body[8:], size, "zstd", asbytes=True) if size else b""
+
+
 def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc, tkey, body)``: the texts, deflated for a shuffle by document."""
-    import zlib
+    """``(doc, tkey, body)``: the texts, compressed for a shuffle by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            body = pa.array([zlib.compress(t, 1) for t in texts(b["text"])], pa.binary())
+            body = pa.array([squeezed(t) for t in texts(b["text"])], pa.binary())
             yield pa.RecordBatch.from_arrays([b["id"], b["tkey"], body], ["doc", "tkey", "body"])
 
     rows = docs.select(id_key(id_col).alias("id"), text_key(text_col).alias("tkey"), F.col(text_col).alias("text"))
@@ -170,15 +180,13 @@ def contents(wanted: DataFrame, docs: DataFrame, cut: Callable, id_col: str, tex
 
     ``cut(text)`` returns a function from ``(start, n)`` to the bytes of the run.
     """
-    import zlib
-
     listed = by_document(wanted.select("anchor", "members", "rep.doc", "rep.place", "n"))
     names = ["anchor", "members", "doc", "place", "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc, tkey, body, items in zip(*(b[c] for c in ("doc", "tkey", "body", "items"))):
-                slice_of, high, rows = cut(zlib.decompress(body.as_py())), tkey.as_py() << 32, items.as_py()
+                slice_of, high, rows = cut(unsqueezed(body.as_py())), tkey.as_py() << 32, items.as_py()
                 for lo in range(0, len(rows), 4096):
                     part = rows[lo : lo + 4096]
                     yield pa.RecordBatch.from_arrays([
@@ -258,8 +266,6 @@ def with_spans(docs: DataFrame, removed: DataFrame, width: int, cut: Callable, i
     ``removed`` has windows ``(doc, place, n)``; ``cut(text, spans)`` returns
     the number of units of the text and what is left of it.
     """
-    import zlib
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 512):
@@ -267,7 +273,7 @@ def with_spans(docs: DataFrame, removed: DataFrame, width: int, cut: Callable, i
                 n, spans, kept = [], [], []
                 for body, items in zip(p["body"], p["items"]):
                     found = merged(items.as_py() or [], width - 1)
-                    units, left = cut(zlib.decompress(body.as_py()), found)
+                    units, left = cut(unsqueezed(body.as_py()), found)
                     n.append(units)
                     spans.append([{"start": x, "stop": y} for x, y in found])
                     kept.append(left)

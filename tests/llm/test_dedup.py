@@ -138,3 +138,22 @@ def test_maximal_repeats_by_definition():
 def test_digest_of_empty_text_is_sha_of_nothing(docs):
     found = suffix.remove_repeats(docs.where("text = ''")).collect()
     assert [hashlib.sha256(bytes(r.kept)).hexdigest() for r in found] == [hashlib.sha256(b"").hexdigest()]
+
+
+def test_texts_are_cut_into_runs_once(docs, tmp_path):
+    """Both passes over the runs read what the first one wrote."""
+    import os
+
+    from cargoline.llm.runs import candidates, run_rows, squeezed, unsqueezed
+    from cargoline.llm.substring import word_symbols
+
+    log, plain = str(tmp_path), word_symbols()
+
+    def symbols(text):
+        with open(os.path.join(log, "cut"), "ab") as f:
+            f.write(b".")
+        return plain(text)
+
+    candidates(run_rows(docs, symbols, 20, 4, "doc_id", "text"), "counted").count()
+    assert os.path.getsize(os.path.join(log, "cut")) == docs.count()
+    assert all(unsqueezed(squeezed(x)) == x for x in (b"", b"a", "ñ \0 ".encode() * 5000))
