@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import id_key, land, text_key, texts
+from cargoline.llm.common import id_key, land, landed, text_key, texts
 
 RUN_SCHEMA = "anchor long, span long, doc long, place long, n int"
 CHUNK = 1 << 20  # k-grams per chunk; a k-gram's place in it takes 20 bits
@@ -122,16 +122,13 @@ def candidates(runs: DataFrame, name: str) -> DataFrame:
 
     The runs are written first: both passes over them read the files, so each text is cut once. The first shuffle carries one minimum and one maximum per anchor, combined
     before it, and is written, so that the second, a semi-join, stands on two plain
-    exchanges and AQE can split its hot anchors.
+    exchanges and AQE can split its hot anchors.  Both files go once the candidates are written.
     """
-    runs = land(runs, f"{name}-all")
     tag = F.xxhash64("doc", "place")
-    shared = land(
-        runs.select("anchor", tag.alias("tag")).groupBy("anchor").agg(F.min("tag").alias("a"), F.max("tag").alias("b"))
-        .where("a <> b").select("anchor"),
-        f"{name}-anchors",
-    )
-    return land(runs.join(shared, "anchor", "left_semi"), name)
+    with landed(runs, f"{name}-all") as runs:
+        tagged = runs.select("anchor", tag.alias("tag")).groupBy("anchor").agg(F.min("tag").alias("a"), F.max("tag").alias("b"))
+        with landed(tagged.where("a <> b").select("anchor"), f"{name}-anchors") as shared:
+            return land(runs.join(shared, "anchor", "left_semi"), name)
 
 
 def classes(cand: DataFrame) -> DataFrame:

@@ -157,3 +157,18 @@ def test_texts_are_cut_into_runs_once(docs, tmp_path):
     candidates(run_rows(docs, symbols, 20, 4, "doc_id", "text"), "counted").count()
     assert os.path.getsize(os.path.join(log, "cut")) == docs.count()
     assert all(unsqueezed(squeezed(x)) == x for x in (b"", b"a", "ñ \0 ".encode() * 5000))
+
+
+def test_all_runs_are_deleted_once_the_candidates_are_written(spark, docs):
+    """Only the runs whose anchor recurs stay on disk."""
+    import os
+
+    from cargoline.llm.runs import candidates, run_rows
+    from cargoline.llm.substring import word_symbols
+    from cargoline.session import scratch_path
+    from cargoline.storage import children
+
+    found = candidates(run_rows(docs, word_symbols(), 20, 4, "doc_id", "text"), "left")
+    names = [n.rpartition("-")[0] for n in children(spark, os.path.dirname(scratch_path(spark, "x")))]
+    assert [n for n in names if n.startswith("llm-left")] == ["llm-left"]
+    assert found.count() > 0
