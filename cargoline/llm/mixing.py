@@ -28,6 +28,7 @@ import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
 from types import SimpleNamespace
 
 import numpy as np
@@ -39,13 +40,16 @@ from pyspark.sql import functions as F
 
 from cargoline.llm.classifier import remainder
 from cargoline.llm.common import blocks_of, land, table
+from cargoline.llm.perplexity import BATCH, BATCH_ROWS
+from cargoline.session import settings
 
 HEAVY_BITS, BLOCK = 19, 4096
 LEAST_SLOT_BITS, MOST_SLOT_BITS, SLOTS_A_TOKEN = 16, 23, 8  # of the context tables
 SPELL_BITS, REACHES, SPELL_PRIOR = 20, (1, 2, 3), 2.0  # slots and context bytes of the spelling tables
 SEGMENT, RATE, PRIOR = 1024, 0.03, 0.5
 GATES, INPUTS = 9, 3
-TEXT_BYTES = 1 << 19  # text that is coded at a time; its decisions take some 180 bytes a byte
+PART = 1 << 15  # decisions whose inputs are reckoned at a time
+TEXT_BYTES = 1 << 19  # text that is coded at a time
 FIRST_WEIGHTS = np.tile([0.8, 0.1, 0.1], (GATES, 1))
 END = b""  # the end token; no word is empty
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -83,11 +87,16 @@ def huffman(tokens: list[bytes], counts: list[int], escape: int) -> SimpleNamesp
     return SimpleNamespace(
         tokens=tokens, escape=n - 1, counts=np.array(counts + [0], np.float64),
         start=np.concatenate(([0], np.cumsum([len(p) for p in paths]))).astype(np.int64),
-        node=np.array([d[0] for d in flat], np.int32), bit=np.array([d[1] for d in flat], np.int8), prior=share.astype(np.float32),
+        node=np.array([d[0] for d in flat], np.int32), bit=np.array([d[1] for d in flat], np.int8),
+        prior=share.astype(np.float32), logit=logits(share.astype(np.float32)),
         slot_bits=slot_bits(sum(counts)),
     )
 
 
+def logits(p: np.ndarray) -> np.ndarray:
+    return np.log(p / (1 - p))
+
+
 def slot_bits(tokens: int) -> int:
     """Size of the context tables: ``SLOTS_A_TOKEN`` a training token, up to a bound that fits a worker."""
     return min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, math.ceil(math.log2(max(1, SLOTS_A_TOKEN * tokens)))))
@@ -104,72 +113,116 @@ def decisions(tokens: np.ndarray, docs: np.ndarray, code: SimpleNamespace) -> tu
     for back in (1, 2):
         same = docs[back:] == docs[:-back] if n > back else np.zeros(0, bool)
         before[back - 1, back:] = np.where(same, tokens[:-back], -1) if n > back else 0
-    lengths = code.start[tokens + 1] - code.start[tokens]
-    total = int(lengths.sum())
-    at = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(code.start[tokens], lengths)
-    node = code.node[at]
+    first = code.start[tokens]
+    lengths = code.start[tokens + 1] - first
+    first -= np.cumsum(lengths) - lengths
+    at = np.repeat(first, lengths)
+    at += np.arange(len(at))
+    node, bit = code.node[at], code.bit[at]
+    del at
     one = (before[0] + 2).astype(np.uint64) * np.uint64(ODD[0])
     two = (one + (before[1] + 2).astype(np.uint64)) * np.uint64(ODD[1])
+    salt = node.astype(np.uint64)
+    salt *= np.uint64(ODD[2])
     out = []
     for h in (one, two):
-        h = np.repeat(h, lengths) + node.astype(np.uint64) * np.uint64(ODD[2])
+        h = np.repeat(h, lengths)
+        h += salt
         h ^= h >> np.uint64(31)
-        out.append((h * np.uint64(ODD[1]) >> np.uint64(64 - code.slot_bits)).astype(np.int32))
-    return node, code.bit[at], out[0], out[1], np.repeat(docs, lengths)
+        h *= np.uint64(ODD[1])
+        h >>= np.uint64(64 - code.slot_bits)
+        out.append(h.astype(np.int32))
+    return node, bit, out[0], out[1], np.repeat(docs.astype(np.int32), lengths)
 
 
 def inputs(node, bit, slot1, slot2, code: SimpleNamespace, tables, leave_out: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Logits ``(decisions, 3)`` and gate of each decision."""
-    p0 = code.prior[node]
-    x = np.empty((len(node), INPUTS), np.float32)
-    x[:, 0] = np.log(p0 / (1 - p0))
-    gate = np.zeros(len(node), np.int8)
-    p = p0  # each context's counts are smoothed with the shorter context's probability
-    for k, slot in enumerate((slot1, slot2)):
-        zeros, ones = tables[k][0][slot].astype(np.float32), tables[k][1][slot].astype(np.float32)
-        if leave_out:  # a training text must not vouch for itself
-            ones = np.maximum(ones - bit, 0)
-            zeros = np.maximum(zeros - (1 - bit), 0)
-        p1, q1 = ones + PRIOR * p, zeros + PRIOR * (1 - p)
-        x[:, k + 1] = np.log(p1 / q1)
-        p = p1 / (p1 + q1)
-        seen = ones + zeros
-        gate += (3**k * ((seen > 0).astype(np.int8) + (seen > 16))).astype(np.int8)
-    return np.clip(x, -12, 12), gate
+    """Logits ``(3, decisions)`` and gate of each decision."""
+    x, gate = np.empty((INPUTS, len(node)), np.float32), np.zeros(len(node), np.int8)
+    for lo in range(0, len(node), PART):  # parts whose arrays stay in a core's cache
+        part = slice(lo, lo + PART)
+        at, seen_by = node[part], gate[part]
+        x[0, part] = code.logit[at]
+        p = code.prior[at]  # each context's counts are smoothed with the shorter context's probability
+        own = bit[part].astype(np.float32)
+        for k, slot in enumerate((slot1[part], slot2[part])):
+            both = pairs_at(tables[k], slot)
+            zeros, ones = both[:, 0].astype(np.float32), both[:, 1].astype(np.float32)
+            if leave_out:  # a training text must not vouch for itself
+                ones = np.maximum(ones - own, 0)
+                zeros = np.maximum(zeros - (1 - own), 0)
+            seen = ones + zeros
+            seen_by += np.int8(3**k) * ((seen > 0).view(np.int8) + (seen > 16))
+            p1, q1 = ones + np.float32(PRIOR) * p, zeros + np.float32(PRIOR) * (1 - p)
+            np.log(p1 / q1, out=x[k + 1, part])
+            p = p1 / (p1 + q1)
+    return np.clip(x, -12, 12, out=x), gate
+
+
+def pairs_at(table: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Rows ``(zeros, ones)`` of a table of counts, each fetched at once."""
+    return table.view(np.uint64).ravel()[slot].view(np.uint32).reshape(-1, 2)
 
 
 def mix(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, docs: np.ndarray, first: np.ndarray):
-    """Natural log probability of each decision, and the refined weights of every segment.
+    """Natural log probability of each document's decisions by segment, and the refined weights of every segment.
 
     Segments run side by side: step ``t`` predicts, then learns from, the
-    ``t``-th decision of each.
+    ``t``-th decision of each; the longest segments come first, so those that
+    have a ``t``-th decision are a prefix, and the decisions of one step are
+    laid side by side.  Returns ``(doc, log, weights, visits)`` of the segments.
     """
     n = len(bit)
     heads = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1])))
-    place = np.arange(n) - np.repeat(heads, np.diff(np.append(heads, n)))
-    starts = np.flatnonzero(place % SEGMENT == 0)
+    sizes = np.diff(np.append(heads, n))
+    cuts = -(-sizes // SEGMENT)
+    starts = np.repeat(heads, cuts) + (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * SEGMENT
     lengths = np.diff(np.append(starts, n))
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
-    w = np.tile(first.astype(np.float32), (len(starts), 1, 1)).reshape(-1, INPUTS)
-    lane = np.empty(len(starts), np.int64)
-    lane[order] = np.arange(len(starts))
-    visits = np.bincount(np.repeat(lane, np.diff(np.append(np.sort(starts), n))) * GATES + gate, minlength=len(starts) * GATES)
-    out = np.empty(n, np.float32)
-    lanes = np.arange(len(starts)) * GATES
     active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right")
-    for t in range(int(lengths[0])):
-        m = active[t]
-        at = starts[:m] + t
-        rows = lanes[:m] + gate[at]
-        xs, b = x[at], bit[at]
-        ws = w[rows]
-        p = 1 / (1 + np.exp(-np.einsum("ij,ij->i", ws, xs)))
-        p = np.clip(p, 1e-6, 1 - 1e-6)
-        out[at] = p
-        w[rows] = ws + ((b - p) * np.float32(RATE))[:, None] * xs
-    out = np.log(np.where(bit, out, 1 - out))
-    return out, w.reshape(-1, GATES, INPUTS), visits.reshape(-1, GATES)
+    edges = np.concatenate(([0], np.cumsum(active)))
+    lane = np.arange(n) - np.repeat(edges[:-1], active)
+    source = starts[lane]
+    source += np.repeat(np.arange(len(active)), active)
+    x = [-row[source] for row in x]  # of the other sign, as the logistic function takes them
+    bit = bit[source].astype(np.float32)
+    rows = gate[source].astype(np.int64)
+    del source
+    lane *= GATES
+    rows += lane
+    lane //= GATES
+    visits = np.bincount(rows, minlength=len(starts) * GATES).reshape(-1, GATES)
+    w = [np.tile(first[:, k].astype(np.float32), len(starts)) for k in range(INPUTS)]
+    out = np.empty(n, np.float32)
+    # Constants and buffers as wide as a step: a plain number is converted anew in every call.
+    most = len(starts)
+    one, rate, low, high = (np.full(most, v, np.float32) for v in (1, RATE, 1e-6, 1 - 1e-6))
+    held, spare = [np.empty(most, np.float32) for _ in w], np.empty(most, np.float32)
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        m = hi - lo
+        if m < most:
+            most, one, rate, low, high, spare, held = m, one[:m], rate[:m], low[:m], high[:m], spare[:m], [v[:m] for v in held]
+        r, p = rows[lo:hi], out[lo:hi]
+        xs = [row[lo:hi] for row in x]
+        for all_, v in zip(w, held):
+            all_.take(r, out=v, mode="clip")
+        np.multiply(held[0], xs[0], out=p)
+        for v, xk in zip(held[1:], xs[1:]):
+            np.multiply(v, xk, out=spare)
+            np.add(p, spare, out=p)
+        np.exp(p, out=p)
+        np.add(p, one, out=p)
+        np.divide(one, p, out=p)
+        np.maximum(p, low, out=p)
+        np.minimum(p, high, out=p)
+        step = bit[lo:hi] - p
+        np.multiply(step, rate, out=step)
+        for all_, v, xk in zip(w, held, xs):
+            np.multiply(step, xk, out=spare)
+            np.subtract(v, spare, out=v)
+            all_[r] = v
+    out = np.log(np.where(bit > 0, out, 1 - out))
+    return docs[starts], np.bincount(lane, out, len(starts)), np.stack(w, 1).reshape(-1, GATES, INPUTS), visits
 
 
 # --- spelling of the other tokens ---------------------------------------------------
@@ -206,8 +259,9 @@ def spelled(words: list[bytes], tables) -> np.ndarray:
     """
     slots, bit, word = spell_slots(words)
     p = np.full(len(bit), 0.5, np.float32)
-    for (zeros, ones), slot in zip(tables, slots):
-        one, all_ = ones[slot].astype(np.float32), zeros[slot].astype(np.float32)
+    for table, slot in zip(tables, slots):
+        both = pairs_at(table, slot)
+        one, all_ = both[:, 1].astype(np.float32), both[:, 0].astype(np.float32)
         p = (one + SPELL_PRIOR * p) / (one + all_ + SPELL_PRIOR)
     return np.bincount(word, np.log(np.clip(np.where(bit, p, 1 - p), 1e-9, 1)), len(words))
 
@@ -261,17 +315,25 @@ def unpacked_counts(value: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u4" if value[0] else np.uint8)
 
 
-def packed_tables(tables) -> list[list[list[bytes]]]:
+def packed_tables(tables: list[np.ndarray]) -> list[list[bytes]]:
     """Small enough to be sent to every executor; a task unpacks them for itself."""
-    return [[[packed_counts(half[lo : lo + (1 << 16)]) for lo in range(0, len(half), 1 << 16)] for half in table] for table in tables]
+    return [[packed_counts(table[lo : lo + BLOCK]) for lo in range(0, len(table), BLOCK)] for table in tables]
 
 
-def unpacked_tables(tables) -> list[list[np.ndarray]]:
-    return [[np.concatenate([unpacked_counts(x).astype(np.uint32) for x in half]) for half in table] for table in tables]
+def unpacked_tables(tables: list[list[bytes]], sizes: list[int]) -> list[np.ndarray]:
+    """Tables ``(zeros, ones)``; no second copy of one is made on the way."""
+    out = [np.empty((size, 2), np.uint32) for size in sizes]
+    for table, parts in zip(out, tables):
+        lo = 0
+        for value in parts:
+            part = unpacked_counts(value).reshape(-1, 2)
+            table[lo : lo + len(part)] = part
+            lo += len(part)
+    return out
 
 
 def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
-    """Tables ``[(zeros, ones), ...]`` summed over all tasks.
+    """Tables of rows ``(zeros, ones)`` summed over all tasks.
 
     ``visit(batch, add)`` calls ``add(table, slots, bits)``.  A task sends each block
     of ``BLOCK`` slots it touched once.
@@ -281,7 +343,10 @@ def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
         held = [np.zeros(2 * size, np.uint32) for size in sizes]
 
         def add(k: int, slot: np.ndarray, bit: np.ndarray) -> None:
-            np.add.at(held[k], 2 * slot.astype(np.int64) + bit, np.uint32(1))
+            at = slot.astype(np.int64)
+            at *= 2
+            at += bit
+            np.add.at(held[k], at, np.uint32(1))
 
         for b in batches:
             visit(b, add)
@@ -315,16 +380,16 @@ def gathered(rows: DataFrame, sizes: list[int], visit) -> list:
     for r in land(summed, "tables").toLocalIterator():  # fixed size: the tables' blocks
         part = unpacked_counts(r.data).reshape(-1, 2)
         out[r.k][r.i * len(part) : (r.i + 1) * len(part)] = part
-    return [(t[:, 0].copy(), t[:, 1].copy()) for t in out]
+    return out
 
 
 def numbered(batch: pa.RecordBatch, numbers: dict[bytes, int], escape: int) -> Iterator[tuple[list[list[bytes]], np.ndarray, np.ndarray]]:
     """Tokens, token numbers and document numbers of some rows at a time."""
     for lo, n in blocks_of(batch["text"], TEXT_BYTES):
         lists = [split_tokens(t.as_py()) for t in batch.slice(lo, n)["text"]]
-        flat = [numbers.get(t, escape) for tokens in lists for t in tokens]
-        docs = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        yield lists, np.array(flat, np.int64), docs
+        sizes = [len(x) for x in lists]
+        flat = np.fromiter(map(numbers.get, chain.from_iterable(lists), repeat(escape)), np.int64, sum(sizes))
+        yield lists, flat, np.repeat(np.arange(len(lists)), sizes)
 
 
 def train(docs: DataFrame) -> tuple[dict, DataFrame]:
@@ -363,13 +428,13 @@ def train(docs: DataFrame) -> tuple[dict, DataFrame]:
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, sums, visits = held.value, np.zeros((GATES, INPUTS)), np.zeros(GATES)
-        numbers, counted = numbers_of(c), unpacked_tables(shared.value)
+        numbers, counted = numbers_of(c), unpacked_tables(shared.value, [1 << c.slot_bits] * 2)
         for b in batches:
             for _, flat, of in numbered(b, numbers, c.escape):
                 node, bit, slot1, slot2, at = decisions(flat, of, c)
                 if len(bit):
                     x, gate = inputs(node, bit, slot1, slot2, c, counted, True)
-                    _, w, seen = mix(x, gate, bit, at, FIRST_WEIGHTS)
+                    _, _, w, seen = mix(x, gate, bit, at, FIRST_WEIGHTS)
                     sums += (w * seen[:, :, None]).sum(0)
                     visits += seen.sum(0)
         data = np.concatenate([sums.ravel(), visits])
@@ -401,7 +466,7 @@ def scored_parts(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, row = code.value, TaskContext.get().partitionId() << 40
-        numbers, counted, known = numbers_of(c), unpacked_tables(tables.value), {}
+        numbers, counted, known = numbers_of(c), unpacked_tables(tables.value, [1 << c.slot_bits] * 2), {}
         for b in batches:
             ids, held = b["doc_id"], b["held_out"]
             done = 0
@@ -410,13 +475,15 @@ def scored_parts(docs: DataFrame, model: dict) -> DataFrame:
                 node, bit, slot1, slot2, at = decisions(flat, of, c)
                 if len(bit):
                     x, gate = inputs(node, bit, slot1, slot2, c, counted, False)
-                    value, _, _ = mix(x, gate, bit, at, weights)
-                    mixed = np.bincount(at, value, len(lists))
+                    text, value, _, _ = mix(x, gate, bit, at, weights)
+                    mixed = np.bincount(text, value, len(lists))
                 heavy = flat != c.escape
                 # the constant part -log10(N + V + 1) of a token is added later
                 base = np.bincount(of, np.where(heavy, np.log10(c.counts[flat] + 1), 0.0), len(lists))
                 seen = np.bincount(of, heavy, len(lists)).astype(np.int64)
-                light = [Counter(t for t in tokens if t not in numbers) for tokens in lists]
+                light = [Counter() for _ in lists]
+                for k, t in zip(of[~heavy].tolist(), compress(chain.from_iterable(lists), (~heavy).tolist())):
+                    light[k][t] += 1
                 if len(known) > 1 << 16:
                     known.clear()
                 new = list({t for x in light for t in x if t not in known})
@@ -454,9 +521,11 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, id_col: str = "doc_id"
     are zero and every token is spelled; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, folds) == held).alias("held_out"), F.col(text_col).alias("text"))
-    model, counts = train(rows)
+    spark = docs.sparkSession
+    with settings(spark, {BATCH: min(int(spark.conf.get(BATCH)), BATCH_ROWS)}):
+        model, counts = train(rows)
+        parts = land(scored_parts(rows, model), "score-parts")
     n, v, tokens = model["n"], model["v"], model["light_tokens"]
-    parts = land(scored_parts(rows, model), "score-parts")
     for held in (model["code"], model["tables"], model["spelling"]):
         held.unpersist()  # the parts are written; executors need not keep the model
     # Sums of a text meet no count: each goes by its own row, not by one null.

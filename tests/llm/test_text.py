@@ -283,6 +283,48 @@ def test_coded_tokens_are_a_distribution():
     assert total == pytest.approx(1, abs=1e-5)
 
 
+def test_side_by_side_segments_equal_one_decision_at_a_time():
+    """Every segment of a document starts from the first weights and learns its own."""
+    rng, n = np.random.default_rng(3), 2700
+    x = rng.normal(size=(mixing.INPUTS, n)).astype(np.float32)
+    gate, bit = rng.integers(0, mixing.GATES, n).astype(np.int8), rng.integers(0, 2, n).astype(np.int8)
+    docs = np.repeat([0, 2, 3], [1500, 1024, 176])
+    of, log, weights, visits = mixing.mix(x, gate, bit, docs, mixing.FIRST_WEIGHTS)
+    got, want = sorted(zip(of.tolist(), log.tolist(), weights.sum((1, 2)).tolist(), visits.sum(1).tolist())), []
+    for doc, lo, hi in ((0, 0, 1024), (0, 1024, 1500), (2, 1500, 2524), (3, 2524, 2700)):
+        w, total = mixing.FIRST_WEIGHTS.astype(np.float64).copy(), 0.0
+        for i in range(lo, hi):
+            p = min(max(1 / (1 + math.exp(-(w[gate[i]] @ x[:, i]))), 1e-6), 1 - 1e-6)
+            total += math.log(p if bit[i] else 1 - p)
+            w[gate[i]] += (bit[i] - p) * mixing.RATE * x[:, i]
+        want.append((doc, total, w.sum(), hi - lo))
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a == pytest.approx(b, rel=1e-3)
+
+
+def test_a_scoring_task_holds_one_copy_of_the_tables():
+    """Unpacking takes the tables themselves and one block more, so two tasks of an executor have room."""
+    import tracemalloc
+
+    size = 1 << 18
+    tables = [np.random.default_rng(k).integers(0, 300, (size, 2)).astype(np.uint32) for k in range(2)]
+    packed = mixing.packed_tables(tables)
+    tracemalloc.start()
+    found = mixing.unpacked_tables(packed, [size] * 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((a == b).all() for a, b in zip(tables, found))
+    assert most < 1.2 * sum(t.nbytes for t in tables)
+
+
+def test_the_language_model_gets_texts_in_small_batches(docs, monkeypatch):
+    key, sent, land = mixing.BATCH, [], mixing.land
+    monkeypatch.setattr(mixing, "land", lambda df, name: sent.append(int(docs.sparkSession.conf.get(key))) or land(df, name))
+    before = docs.sparkSession.conf.get(key)
+    mixing.score(docs)
+    assert sent and max(sent) <= mixing.BATCH_ROWS and docs.sparkSession.conf.get(key) == before
+
+
 def test_a_text_is_sent_to_its_scoring_task_once(docs, rows, capsys):
     """Texts that are carried along are not sent a second time, and rows go in small batches."""
     from cargoline.llm import perplexity
