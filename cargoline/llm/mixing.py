@@ -487,8 +487,8 @@ def scored_parts(docs: DataFrame, model: dict) -> DataFrame:
                 if len(known) > 1 << 16:
                     known.clear()
                 new = list({t for x in light for t in x if t not in known})
-                for lo in range(0, len(new), 1 << 13):
-                    part = new[lo : lo + (1 << 13)]
+                for lo in range(0, len(new), 1 << 10):  # a part stays in a core's cache
+                    part = new[lo : lo + (1 << 10)]
                     known.update(zip(part, zip(map(token_hash, part), spelled(part, spelling.value).tolist())))
                 m = len(lists)
                 rows = row + done + np.arange(m)

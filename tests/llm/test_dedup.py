@@ -162,13 +162,15 @@ def test_texts_are_cut_into_runs_once(docs, tmp_path):
 def test_all_runs_are_deleted_once_the_candidates_are_written(spark, docs):
     """Only the runs whose anchor recurs stay on disk."""
     import os
+    import uuid
 
     from cargoline.llm.runs import candidates, run_rows
     from cargoline.llm.substring import word_symbols
     from cargoline.session import scratch_path
     from cargoline.storage import children
 
-    found = candidates(run_rows(docs, word_symbols(), 20, 4, "doc_id", "text"), "left")
+    own = f"left-{uuid.uuid4().hex}"  # the scratch folder may be that of other runs, too
+    found = candidates(run_rows(docs, word_symbols(), 20, 4, "doc_id", "text"), own)
     names = [n.rpartition("-")[0] for n in children(spark, os.path.dirname(scratch_path(spark, "x")))]
-    assert [n for n in names if n.startswith("llm-left")] == ["llm-left"]
+    assert [n for n in names if n.startswith(f"llm-{own}")] == [f"llm-{own}"]
     assert found.count() > 0
